@@ -78,9 +78,19 @@ def default_if_falsy(x: Column | str, default: object, falsy: object = 0) -> Col
     return F.coalesce(F.nullif(_col(x), F.lit(falsy)), F.lit(default))
 
 
-def json_fields(text: Column | str, schema: str) -> Column:
-    """Fields of a JSON text as a struct; missing fields, null and empty text give nulls."""
-    return F.from_json(F.coalesce(F.nullif(_col(text), F.lit("")), F.lit("{}")), schema)
+def json_fields(text: Column | str, schema: str, broken: str | None = None) -> Column:
+    """Fields of a JSON text as a struct; missing fields, null and empty text give nulls.
+
+    ``broken`` names one more field of the struct, which holds the text itself
+    where it is no valid JSON and is null elsewhere.
+    """
+    options = {}
+    if broken is not None:
+        schema = f"{schema}, `{broken}` string"
+        options["columnNameOfCorruptRecord"] = broken
+    return F.from_json(
+        F.coalesce(F.nullif(_col(text), F.lit("")), F.lit("{}")), schema, options
+    )
 
 
 def as_text(df: DataFrame, *columns: str) -> DataFrame:

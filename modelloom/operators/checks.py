@@ -20,7 +20,7 @@ def not_null(df: DataFrame, *columns: str) -> DataFrame:
 
 def unique(df: DataFrame, *columns: str) -> DataFrame:
     """Values (or combinations) that occur more than once, with how often; nulls are left out."""
-    present = df.dropna(subset=list(columns)).select(*columns)
+    present = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
     return present.groupBy(*columns).agg(F.count("*").alias("occurrences")).where("occurrences > 1")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.resource import ResourceProfile
@@ -52,20 +54,18 @@ def enrich(
         on_error=on_error,
         resources=resources,
     )
-    reply = json_fields("_reply", f"{fields}, _corrupt string")
-    parsed = asked.withColumn("_fields", reply)
+    parsed = asked.withColumn("_fields", json_fields("_reply", fields, broken="_corrupt"))
     broken = F.col("_fields._corrupt").isNotNull()
     text = F.concat(F.lit("reply is not valid JSON: "), F.col("_fields._corrupt"))
     if on_error == "column":
         failed = F.coalesce(F.col(ERROR_COLUMN), F.when(broken, text))
     else:
         failed = F.when(broken, F.raise_error(text)).cast("string")
-    out = parsed.select(
+    return parsed.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in names],
-        *[F.when(~F.coalesce(broken, F.lit(False)), F.col(f"_fields.`{n}`")).alias(n) for n in names],
+        *[F.when(~broken, F.col(f"_fields.`{n}`")).alias(n) for n in names],
         failed.alias(ERROR_COLUMN),
     )
-    return out
 
 
 def lookup(
@@ -88,7 +88,8 @@ def lookup(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not keys:
         raise ConfigError("lookup needs at least one key column")
-    distinct = df.select(*keys).dropna(subset=keys).distinct()
+    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    distinct = df.where(present).select(*keys).distinct()
     answers = parallel_map(
         distinct, call, adds=adds, setup=setup, workers=workers,
         on_error=on_error, resources=resources,

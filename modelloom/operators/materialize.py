@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from modelloom.errors import ConfigError, ModelTimeout, ResultError
+from modelloom.shared import scratch_path
 from modelloom.sources import RelationName, relation_name
 
 Name = str | RelationName
@@ -47,12 +48,7 @@ def create_view(spark: SparkSession, name: Name, query: str) -> None:
 
 
 def replace_table(
-    df: DataFrame,
-    name: Name,
-    *,
-    format: str = "parquet",
-    partition_by: Sequence[str] = (),
-    timeout_s: float | None = None,
+    df: DataFrame, name: Name, *, format: str = "parquet", timeout_s: float | None = None
 ) -> int:
     """Store ``df`` as the table, whatever the table held before; returns the row count.
 
@@ -68,7 +64,7 @@ def replace_table(
     staging, backup = target.sibling(f"__stg_{mark}"), target.sibling(f"__bak_{mark}")
     try:
         with time_limit(spark, timeout_s, target.identifier):
-            rows = _save(df, staging, "error", format, partition_by)
+            rows = _save(df, staging, "error", format)
         before = kind_of(spark, target)
         if before == "table":
             _rename(spark, target, backup)
@@ -111,8 +107,24 @@ def append_table(
         return _save(df, target, "append", format, partition_by)
 
 
+def overwrite_partitions(df: DataFrame, name: Name) -> None:
+    """Replace just those partitions of a table that ``df`` has rows for.
+
+    The mode goes into the session, because a table insert does not look at
+    writer options and would otherwise empty the whole table.
+    """
+    conf = df.sparkSession.conf
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        df.write.insertInto(relation_name(name).render(), overwrite=True)
+    finally:
+        conf.set(mode, before)
+
+
 def _save(
-    df: DataFrame, target: RelationName, mode: str, format: str, partition_by: Sequence[str]
+    df: DataFrame, target: RelationName, mode: str, format: str, partition_by: Sequence[str] = ()
 ) -> int:
     """Write and count in one pass."""
     seen = Observation()
@@ -172,50 +184,59 @@ def snapshot(
 
     Rows that changed or vanished get their ``valid_to``, changed and new ones a
     row with ``valid_from``. ``as_of`` is the time of this run and must be later
-    than that of the last. Keys must be unique in ``df``.
+    than that of the last. Keys must be unique in ``df``. Returns the rows
+    written: the table is partitioned by ``valid_to`` and a run rewrites only
+    the open rows, whatever the length of the history.
     """
     spark = df.sparkSession
     target = relation_name(name)
     reserved = {"valid_from", "valid_to"} & set(df.columns)
     if reserved:
         raise ConfigError(f"snapshot needs the names {sorted(reserved)} for itself")
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    now = as_of
-    none = F.lit(None)
     if kind_of(spark, target) is None:
-        first = df.select(*columns, now.alias("valid_from"))
-        return replace_table(
-            first.withColumn("valid_to", none.cast(first.schema["valid_from"].dataType)),
-            target, timeout_s=timeout_s,
+        first = df.select("*", as_of.alias("valid_from"))
+        still_open = F.lit(None).cast(first.schema["valid_from"].dataType)
+        return append_table(
+            first.withColumn("valid_to", still_open), target,
+            partition_by=["valid_to"], timeout_s=timeout_s,
         )
 
     history = spark.table(target.render())
     time_type = history.schema["valid_from"].dataType
-    now = now.cast(time_type)
-    closed = history.where(F.col("valid_to").isNotNull())
-    state = F.struct(*columns)
-    open_rows = history.where(F.col("valid_to").isNull()).select(
-        F.col(key).alias("_old_key"), state.alias("_old"), F.col("valid_from").alias("_since")
-    )
-    new_rows = df.select(F.col(key).alias("_new_key"), state.alias("_new"))
-    both = open_rows.join(
-        new_rows, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer"
-    )
-    same = F.col("_old").eqNullSafe(F.col("_new"))
-    old = F.struct(
-        "_old", F.col("_since").alias("valid_from"),
-        F.when(~same, now).alias("valid_to"),
+    now, still_open = as_of.cast(time_type), F.lit(None).cast(time_type)
+    columns = [c for c in history.columns if c not in ("valid_from", "valid_to")]
+    if set(columns) != set(df.columns):
+        raise ResultError(f"columns differ from those of the history {target.render_unquoted()}")
+
+    state = F.struct(*[F.col(f"`{c}`") for c in columns])
+    was = history.where(F.col("valid_to").isNull()).select(
+        F.col(key).alias("_was_key"), state.alias("_was"), "valid_from"
     )
-    new = F.struct(
-        F.col("_new").alias("_old"), now.alias("valid_from"), none.cast(time_type).alias("valid_to")
+    now_is = df.select(F.col(key).alias("_is_key"), state.alias("_is"))
+    both = was.join(now_is, F.col("_was_key").eqNullSafe(F.col("_is_key")), "full_outer")
+
+    same = F.col("_was").eqNullSafe(F.col("_is"))
+    versions = F.array_compact(F.array(
+        F.when(F.col("_was").isNotNull(), F.struct(
+            F.col("_was").alias("row"), F.col("valid_from").alias("since"),
+            F.when(~same, now).alias("until"),
+        )),
+        F.when(F.col("_is").isNotNull() & ~same, F.struct(
+            F.col("_is").alias("row"), now.alias("since"), still_open.alias("until"),
+        )),
+    ))
+    changed = both.select(F.explode(versions).alias("v")).select(
+        "v.row.*", F.col("v.since").alias("valid_from"), F.col("v.until").alias("valid_to")
     )
-    states = both.select(
-        F.explode(
-            F.filter(
-                F.array(F.when(F.col("_old").isNotNull(), old),
-                        F.when(F.col("_new").isNotNull() & ~same, new)),
-                lambda s: s.isNotNull(),
-            )
-        ).alias("s")
-    ).select("s._old.*", "s.valid_from", "s.valid_to")
-    return replace_table(closed.unionByName(states), target, timeout_s=timeout_s)
+    # a table cannot be overwritten while it is read, so the new rows are written
+    # down first; then only the partitions they fill are replaced
+    path = scratch_path(spark, "snapshot")
+    seen = Observation()
+    with time_limit(spark, timeout_s, target.identifier):
+        changed.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        written = spark.read.schema(changed.schema).parquet(path)
+        overwrite_partitions(written, target)
+        if written.where(F.col("valid_to").isNull()).isEmpty():
+            # every key has vanished, so nothing has replaced the open rows
+            spark.sql(f"alter table {target} drop if exists partition (valid_to = null)")
+    return int(seen.get.get("rows", 0))

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from modelloom.functions import empty_like
-from modelloom.operators.materialize import append_table, kind_of
+from modelloom.operators.materialize import append_table, kind_of, overwrite_partitions
 from modelloom.sources import RelationName, relation_name
 
 BATCH_COLUMN = "batch_id"
@@ -60,12 +60,8 @@ def append_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         started.wait()
         stamp = f"{query.id}-{batch_id}"
-        (
-            batch.withColumn(BATCH_COLUMN, F.lit(stamp))
-            .select(*[F.col(f"`{c}`") for c in columns])
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(target.render(), overwrite=True)
-        )
+        stamped = batch.withColumn(BATCH_COLUMN, F.lit(stamp))
+        overwrite_partitions(stamped.select(*[F.col(f"`{c}`") for c in columns]), target)
 
     query = (
         stream.writeStream.foreachBatch(write)

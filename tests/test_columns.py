@@ -1,0 +1,110 @@
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from modelloom.errors import ConfigError
+from modelloom.functions import (
+    as_text,
+    bucketize,
+    cents_rounded,
+    cents_truncated,
+    default_if_falsy,
+    empty_like,
+    fill_template,
+    flag,
+    json_fields,
+)
+from modelloom.operators import merge
+
+slow = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def values(df, column="y"):
+    return [r[column] for r in df.orderBy("i").collect()]
+
+
+def frame(spark, xs, kind="double"):
+    return spark.createDataFrame(list(enumerate(xs)), f"i int, x {kind}")
+
+
+def test_bucket_edges(spark):
+    xs = [None, float("nan"), -2.0, -1.0, -0.5, 0.0, 50.0, 50.01, 200.0, 201.0, float("inf")]
+    got = values(frame(spark, xs).withColumn("y", bucketize("x", [-1, 50, 200, float("inf")], ["small", "medium", "large"])))
+    assert got == ["nan"] * 4 + ["small"] * 3 + ["medium"] * 2 + ["large"] * 2
+
+
+def test_bucket_of_decimals_and_other_default(spark):
+    df = spark.sql("select 1 as i, cast(50.00 as decimal(9,2)) as x union all select 2, 999.99")
+    assert values(df.withColumn("y", bucketize("x", [0, 50, 100], ["a", "b"], out_of_range=None))) == ["a", None]
+
+
+@slow
+@given(xs=st.lists(st.one_of(st.none(), st.floats(-300, 300), st.sampled_from([-1.0, 50.0, 200.0])), min_size=1, max_size=30))
+def test_bucketize_is_pandas_cut(spark, xs):
+    bins, labels = [-1, 50, 200, float("inf")], ["small", "medium", "large"]
+    got = values(frame(spark, xs).withColumn("y", bucketize("x", bins, labels)))
+    assert got == pd.cut(pd.Series(xs, dtype=float), bins=bins, labels=labels).astype(str).to_list()
+
+
+@slow
+@given(xs=st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=30))
+def test_cents_are_those_of_pandas(spark, xs):
+    df = frame(spark, xs).select("i", cents_truncated("x").alias("t"), cents_rounded("x").alias("r"))
+    series = pd.Series(xs, dtype=float) * 100
+    assert values(df, "t") == series.astype(int).to_list()
+    assert values(df, "r") == series.round().astype(int).to_list()
+
+
+def test_halves_round_to_even(spark):
+    xs = [0.005, 0.015, 0.025, -0.005, -0.015, -0.025, None]
+    expected = [None if x is None else int(np.rint(x * 100)) for x in xs]
+    assert values(frame(spark, xs).withColumn("y", cents_rounded("x"))) == expected
+
+
+def test_bucketize_rejects():
+    for bins, labels in (([0, 1], ["a", "b"]), ([1, 0], ["a"]), ([0], [])):
+        with pytest.raises(ConfigError):
+            bucketize("x", bins, labels)
+
+
+def test_flag_template_default(spark):
+    df = frame(spark, [None, 0.0, 150.0])
+    assert values(df.withColumn("y", flag(F.col("x") > 100))) == [False, False, True]
+    assert values(df.withColumn("y", default_if_falsy("x", 365.0))) == [365.0, 365.0, 150.0]
+    names = frame(spark, ["bob", None], "string")
+    assert values(names.withColumn("y", fill_template("Hello, {}!", "x"))) == ["Hello, bob!", None]
+    assert values(names.withColumn("y", fill_template("{}{}", "x", "i", null_text="-"))) == ["bob0", "-1"]
+    with pytest.raises(ConfigError):
+        fill_template("{} {}", "x")
+
+
+def test_json(spark):
+    df = frame(spark, ['{"k": 3}', "{}", "", None, "{oops"], "string")
+    assert [r.k for r in values(df.withColumn("y", json_fields("x", "k int")))] == [3, None, None, None, None]
+    marked = values(df.withColumn("y", json_fields("x", "k int", broken="bad")))
+    assert [r.bad for r in marked] == [None, None, None, None, "{oops"]
+
+
+def test_as_text_and_empty(spark):
+    df = as_text(spark.range(2), "id")
+    assert df.dtypes == [("id", "string")]
+    assert empty_like(df).dtypes == df.dtypes and empty_like(df).isEmpty()
+
+
+def test_merge_nulls_and_suffixes(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "id int, v string")
+    right = spark.createDataFrame([(1, "x"), (None, "y"), (4, "z")], "id int, v string")
+    merged = merge(left, right, "id")
+    assert merged.columns == ["id", "v_x", "v_y"]
+    assert rows(merged) == [(1, "a", "x"), (None, "b", "y")]
+    assert rows(merge(left, right, "id", null_safe=False)) == [(1, "a", "x")]
+    with pytest.raises(ConfigError):
+        merge(left, right, "nope")
+
+
+def test_merge_of_two_keys_with_itself(spark, rows):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k int, j int, v string")
+    assert rows(merge(df, df, ["k", "j"])) == [(1, 1, "a", "a"), (1, 2, "b", "b")]
