@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from modelloom.errors import ConfigError
 from modelloom.functions import json_fields
 from modelloom.operators.parallel import ERROR_COLUMN, parallel_map
+from modelloom.shared import task_count
 
 
 def ticket_prompt(subject: Column, body: Column) -> Column:
@@ -82,8 +83,9 @@ def lookup(
     """Ask an outside service once per distinct key and join the answers back.
 
     Duplicates are removed map-side first, so a key that fills a third of the
-    table costs one call. Rows with a null key get null answers. The join keeps
-    every row and may be split by adaptive skew handling on the row side.
+    table costs one call; the calls are spread over many tasks, ``workers`` at
+    most. Rows with a null key get null answers. The join keeps every row and
+    may be split by adaptive skew handling on the row side.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not keys:
@@ -91,7 +93,7 @@ def lookup(
     present = reduce(and_, [F.col(k).isNotNull() for k in keys])
     distinct = df.where(present).select(*keys).distinct()
     answers = parallel_map(
-        distinct, call, adds=adds, setup=setup, workers=workers,
+        distinct, call, adds=adds, setup=setup, workers=workers or task_count(df.sparkSession),
         on_error=on_error, resources=resources,
     )
     return df.join(answers, keys, "left").select(
@@ -106,8 +108,8 @@ def lead_sentence(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words between blanks, tabs and line ends."""
-    return F.split(F.trim(F.regexp_replace(text, "[ \t\r\n]+", " ")), " ")
+    """Words between blanks, tabs and line ends; some are empty where several of them meet."""
+    return F.split(F.regexp_replace(text, "[\t\r\n]", " "), " ")
 
 
 def embed_text(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelloom.shared import task_count
+
 # fixed values of the low-discrepancy points
 STEP_X, STEP_Y = 0.7548776662466927, 0.5698402909980532
 SEED_X, SEED_Y = 0.6180339887498949, 0.4142135623730951
@@ -25,12 +27,6 @@ def fan_out(
     only then expanded: a row with a huge ``n`` is shared by many tasks and no
     array is longer than a chunk. A row without steps stays, with a null step.
     """
-    spark = df.sparkSession
-    if workers is None:
-        workers = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism,
-        )
     steps = F.col(n).cast("bigint")
     starts = F.when(
         steps > 0, F.sequence(F.lit(1).cast("bigint"), steps, F.lit(chunk).cast("bigint"))
@@ -38,9 +34,10 @@ def fan_out(
     last = F.least(F.col("_start") + F.lit(chunk - 1), steps)
     return (
         df.withColumn("_start", F.explode_outer(starts))
-        # a given number, because adaptive coalescing sees few bytes and not the work
-        .repartition(workers, key, "_start")
-        .withColumn(into, F.explode_outer(F.when(F.col("_start").isNotNull(), F.sequence("_start", last))))
+        .repartition(workers or task_count(df.sparkSession), key, "_start")
+        .withColumn(
+            into, F.explode_outer(F.when(F.col("_start").isNotNull(), F.sequence("_start", last)))
+        )
         .drop("_start")
     )
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from modelloom.errors import ConfigError, ModelTimeout, ResultError
-from modelloom.shared import scratch_path
 from modelloom.sources import RelationName, relation_name
 
 Name = str | RelationName
@@ -230,13 +229,15 @@ def snapshot(
     )
     # a table cannot be overwritten while it is read, so the new rows are written
     # down first; then only the partitions they fill are replaced
-    path = scratch_path(spark, "snapshot")
-    seen = Observation()
-    with time_limit(spark, timeout_s, target.identifier):
-        changed.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        written = spark.read.schema(changed.schema).parquet(path)
-        overwrite_partitions(written, target)
-        if written.where(F.col("valid_to").isNull()).isEmpty():
-            # every key has vanished, so nothing has replaced the open rows
-            spark.sql(f"alter table {target} drop if exists partition (valid_to = null)")
-    return int(seen.get.get("rows", 0))
+    staging = target.sibling(f"__stg_{uuid.uuid4().hex[:8]}")
+    try:
+        with time_limit(spark, timeout_s, target.identifier):
+            rows = _save(changed, staging, "error", "parquet")
+            written = spark.table(staging.render())
+            overwrite_partitions(written, target)
+            if written.where(F.col("valid_to").isNull()).isEmpty():
+                # every key has vanished, so nothing has replaced the open rows
+                spark.sql(f"alter table {target} drop if exists partition (valid_to = null)")
+    finally:
+        drop(spark, staging)
+    return rows

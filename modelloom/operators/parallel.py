@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from itertools import chain
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.resource import (
@@ -33,6 +34,8 @@ from modelloom.errors import ConfigError, ResultError
 from modelloom.shared import is_local
 
 MODES = ("row", "list", "batch", "partition")
+BUNDLE = 10_000  # rows converted between Arrow and Python at a time
+_MISFITS = (pa.ArrowException, TypeError, ValueError, OverflowError)
 ERROR_COLUMN = "error"
 
 
@@ -257,30 +260,40 @@ def _apply_rows(
     batch: pa.RecordBatch, call: Callable, shape: _Shape, fields: pa.Schema
 ) -> tuple[list[pa.Array], list[str | None]]:
     """Call per row; the columns named by ``fields`` and one error text per row."""
-    rows = batch.select(list(shape.seen)).to_pylist()
-    whole = set(shape.seen) | set(shape.added) if shape.added else set(fields.names)
+    names, added = shape.seen, set(shape.added)
+    whole = set(names) | added if added else set(fields.names)
+    inputs = {name: _values(batch.column(name)) for name in names}
     outs: list[dict | None] = []
-    errors: list[str | None] = []
-    for row in rows:
+    errors: list[str | None] = [None] * batch.num_rows
+    brief = True  # whether all results hold just the added columns
+    for i, row in enumerate(_dicts(inputs, batch.num_rows)):
         try:
-            out = call(dict(row))
+            out = call(row)
             if not isinstance(out, dict):
                 raise ResultError(f"a row function must return a dict, got {type(out).__name__}")
-            if out.keys() != set(shape.added) or not shape.added:
-                shape.check_keys(out, whole)
+            if not added or out.keys() != added:
+                if out.keys() != whole:
+                    shape.check_keys(out, whole)
+                brief = False
             outs.append(out)
-            errors.append(None)
         except Exception as exc:
             if not shape.keep_errors:
                 raise
             outs.append(None)
-            errors.append(_message(exc))
+            errors[i] = _message(exc)
 
     while True:
-        arrays, bad = [], {}
-        for field in fields:
-            array = _column(batch, rows, outs, field, shape, bad)
-            arrays.append(array)
+        bad: dict[int, str] = {}
+        arrays = [
+            batch.column(f.name).cast(f.type)
+            if f.name in batch.schema.names and f.name not in added and added
+            and (brief or f.name not in names or _untouched(f, inputs[f.name], outs))
+            else _built(
+                f, outs, bad, *([] if f.name in added or f.name not in inputs
+                                else [inputs[f.name], batch.column(f.name)])
+            )
+            for f in fields
+        ]
         if not bad:
             return arrays, errors
         if not shape.keep_errors:
@@ -289,77 +302,127 @@ def _apply_rows(
             outs[i], errors[i] = None, text
 
 
-def _column(
-    batch: pa.RecordBatch, rows: list[dict], outs: list[dict | None],
-    field: pa.Field, shape: _Shape, bad: dict[int, str],
+def _untouched(field: pa.Field, given: list, outs: list[dict | None]) -> bool:
+    """Whether the functions handed on an input column as it was."""
+    name = field.name
+    return not pa.types.is_nested(field.type) and all(
+        out is None or name not in out or out[name] is value for out, value in zip(outs, given)
+    )
+
+
+def _built(
+    field: pa.Field, outs: list[dict | None], bad: dict[int, str],
+    given: list | None = None, column: pa.Array | None = None,
 ) -> pa.Array | None:
-    """One result column. Rows whose value does not fit its type go to ``bad``."""
+    """A column of result values. Rows whose value does not fit its type go to ``bad``."""
     name = field.name
-    given = name in batch.schema.names
-    if given and shape.added and name not in shape.added:
-        if name not in shape.seen:
-            return _as_type(batch.column(name), field.type)
-        untouched = not pa.types.is_nested(field.type) and all(
-            out is None or name not in out or out[name] is row[name]
-            for out, row in zip(outs, rows)
-        )
-        if untouched:
-            return _as_type(batch.column(name), field.type)
-    kept = name in shape.seen and name not in shape.added
-    values = [
-        out[name] if out is not None and name in out else (row[name] if kept else None)
-        for out, row in zip(outs, rows)
-    ]
+    if given is None:
+        values = [None if out is None else out[name] for out in outs]
+    else:  # failed rows and brief results keep what came in
+        if pa.types.is_nested(field.type):  # which the function may have changed since
+            given = column.to_pylist()
+        values = [v if out is None else out.get(name, v) for out, v in zip(outs, given)]
     try:
         return pa.array(values, field.type)
-    except (pa.ArrowException, TypeError, ValueError, OverflowError):
+    except _MISFITS:
         for i, value in enumerate(values):
             try:
                 pa.array([value], field.type)
-            except (pa.ArrowException, TypeError, ValueError, OverflowError) as exc:
+            except _MISFITS as exc:
                 bad.setdefault(i, f"column {name} cannot hold {value!r}: {exc}")
         return None
 
 
+def _values(column: pa.Array) -> list:
+    """The Python values of a column, like ``to_pylist`` but faster for common types."""
+    kind = column.type
+    if pa.types.is_string(kind) or pa.types.is_large_string(kind):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    if not column.null_count and (pa.types.is_integer(kind) or pa.types.is_floating(kind)):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
+def _dicts(columns: dict[str, list], count: int) -> Iterator[dict]:
+    if not columns:
+        return ({} for _ in range(count))
+    names = list(columns)
+    return (dict(zip(names, values)) for values in zip(*columns.values()))
+
+
 # --- list, batch and partition modes --------------------------------------------
 
 
 def _list_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
-    return _chunk_task(bind, shape, size, pa.Table.to_pylist, _from_rows)
+    def unpack(table: pa.Table) -> list[dict]:
+        columns = {n: _values(table.column(n).combine_chunks()) for n in table.column_names}
+        return list(_dicts(columns, table.num_rows))
+
+    def cut(rows: list[dict], start: int, stop: int) -> list[dict]:
+        return rows[start:stop]
+
+    return _chunk_task(bind, shape, size, unpack, cut, _from_rows)
 
 
 def _frame_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
-    return _chunk_task(bind, shape, size, pa.Table.to_pandas, _from_frame)
+    def unpack(table: pa.Table) -> pd.DataFrame:
+        return table.to_pandas(use_threads=False)
+
+    def cut(frame: pd.DataFrame, start: int, stop: int) -> pd.DataFrame:
+        return frame.iloc[start:stop].reset_index(drop=True)
+
+    return _chunk_task(bind, shape, size, unpack, cut, _from_frame)
 
 
 def _chunk_task(
-    bind: Callable, shape: _Shape, size: int | None, unpack: Callable, pack: Callable
+    bind: Callable, shape: _Shape, size: int | None, unpack: Callable, cut: Callable, pack: Callable
 ) -> Callable:
+    """Many calls per conversion: small batches are cut from a bundle and results put together."""
+    bundle = None if size is None else size * max(1, BUNDLE // size)
+
+    def results(call: Callable, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        whole, count = unpack(table), table.num_rows
+        for start in range(0, count, size or count or 1):
+            stop = min(start + (size or count), count)
+            try:
+                yield pack(call(cut(whole, start, stop)), shape)
+                continue
+            except Exception:
+                if not shape.keep_errors:
+                    raise
+            # one bad row must not take the others with it
+            for i in range(start, stop):
+                one = table.slice(i, 1)
+                try:
+                    result = pack(call(unpack(one)), shape)
+                except Exception as exc:
+                    result = _failed(one, _message(exc), shape)
+                yield result
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for call, todo in _started(batches, bind):
-            for table in _sliced(todo, size):
-                try:
-                    yield pack(call(unpack(table)), shape)
-                    continue
-                except Exception:
-                    if not shape.keep_errors:
-                        raise
-                # one bad row must not take the others with it
-                for i in range(table.num_rows):
-                    one = table.slice(i, 1)
-                    try:
-                        result = pack(call(unpack(one)), shape)
-                    except Exception as exc:
-                        result = _failed(one, _message(exc), shape)
-                    yield result
+            held: list[pa.RecordBatch] = []
+            for table in _sliced(todo, bundle):
+                for result in results(call, table):
+                    held.append(result)
+                    if sum(b.num_rows for b in held) >= BUNDLE:
+                        yield from _joined(held)
+                        held = []
+            yield from _joined(held)
 
     return task
 
 
+def _joined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if len(batches) < 2:
+        return batches
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()
+
+
 def _stream_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for call, todo in _started(batches, bind):
-            for frame in call(table.to_pandas() for table in _sliced(todo, size)):
+            for frame in call(t.to_pandas(use_threads=False) for t in _sliced(todo, size)):
                 yield _from_frame(frame, shape)
 
     return task
@@ -403,29 +466,27 @@ def _from_frame(frame: Any, shape: _Shape) -> pa.RecordBatch:
     if not isinstance(frame, pd.DataFrame):
         raise ResultError(f"a batch function must return a pandas frame, got {type(frame).__name__}")
     shape.check_keys(frame.columns, set(shape.out.names))
+    columns = dict(frame.items())
     arrays = []
     for field in shape.out:
-        array = pa.Array.from_pandas(frame[field.name], type=field.type)
-        if isinstance(array, pa.ChunkedArray):
-            array = array.combine_chunks()
-        arrays.append(array)
+        column = columns[field.name]
+        values = column.values if isinstance(column.values, np.ndarray) else column
+        array = pa.array(values, type=field.type, from_pandas=True)
+        arrays.append(array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array)
     return _record_batch(arrays, [None] * len(frame), shape)
 
 
 def _failed(one: pa.Table, text: str, shape: _Shape) -> pa.RecordBatch:
+    given = one.schema
     arrays = [
-        _as_type(one.column(f.name).combine_chunks(), f.type)
-        if f.name in one.schema.names and one.schema.field(f.name).type == f.type
+        one.column(f.name).combine_chunks()
+        if f.name in given.names and given.field(f.name).type == f.type
         else pa.nulls(1, f.type)
         for f in shape.out
     ]
     return _record_batch(arrays, [text], shape)
 
 
-def _as_type(array: pa.Array, to: pa.DataType) -> pa.Array:
-    return array if array.type == to else array.cast(to)
-
-
 def _record_batch(
     arrays: list[pa.Array], errors: list[str | None], shape: _Shape
 ) -> pa.RecordBatch:

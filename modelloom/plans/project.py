@@ -3,7 +3,8 @@
 A Python model is a function ``model(ctx, spark) -> DataFrame``; it only
 describes the work, the write that stores it is what runs it. A SQL model is a
 Spark SQL text with ``{{ ref('x') }}``, ``{{ source('g', 't') }}`` and
-``{{ this }}`` in place of relation names.
+``{{ this }}`` in place of relation names; it may carry its settings in a
+``{{ config(...) }}`` and comments in ``{# ... #}``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from graphlib import CycleError, TopologicalSorter
 from typing import Any
 
@@ -33,6 +34,9 @@ _MARKER = re.compile(
         )\s*\}\}""",
     re.VERBOSE,
 )
+_COMMENT = re.compile(r"\{#.*?#\}", re.DOTALL)
+_CONFIG = re.compile(r"\{\{\s*config\((.*?)\)\s*\}\}", re.DOTALL)
+_SETTING = re.compile(r"""(\w+)\s*=\s*(?:'([^']*)'|"([^"]*)"|([\w.]+))""")
 
 
 @dataclass(frozen=True)
@@ -118,14 +122,50 @@ class Project:
         ``incremental_text`` takes the place of ``text`` once the target of an
         incremental model exists.
         """
-        markers = list(_MARKER.finditer(text + (incremental_text or "")))
+        text = _COMMENT.sub("", text)
+        inside = {
+            key: single or double or bare
+            for call in _CONFIG.findall(text)
+            for key, single, double, bare in _SETTING.findall(call)
+        }
+        text = _CONFIG.sub("", text)
+        both = text + (incremental_text or "")
+        markers = list(_MARKER.finditer(both))
+        if re.search(r"\{[{%]", _MARKER.sub("", both)):
+            raise ConfigError(f"model `{name}` has a template expression other than ref, source, this, config")
         self._add(Model(
-            name, text, self.defaults.override({"materialized": "view", **settings}),
+            name, text, self.defaults.override({"materialized": "view", **inside, **settings}),
             tuple(dict.fromkeys(m["ref"] for m in markers if m["ref"])),
             tuple(dict.fromkeys((m["group"], m["table"]) for m in markers if m["group"])),
             alias, dict(tests or {}), incremental_text,
         ))
 
+    def declare(self, document: Mapping[str, Any]) -> None:
+        """Take sources, settings and tests from a properties document.
+
+        The shape is that of the usual YAML files, already loaded: ``sources``
+        with ``name``, ``schema``, ``database`` and ``tables``; ``models`` with
+        ``name``, ``config`` and ``columns``, whose ``tests`` are names. Models
+        must have been registered before.
+        """
+        for group in document.get("sources") or ():
+            for table in group["tables"]:
+                name = RelationName(
+                    group.get("database"), group.get("schema") or group["name"],
+                    table.get("identifier") or table["name"],
+                )
+                self.source(group["name"], table["name"], relation=name.render())
+        for entry in document.get("models") or ():
+            model = self._known(entry["name"])
+            tests = {
+                c["name"]: c.get("tests") or c.get("data_tests") or []
+                for c in entry.get("columns") or ()
+            }
+            self._add(replace(
+                model, config=model.config.override(entry.get("config")),
+                tests={**model.tests, **{c: names for c, names in tests.items() if names}},
+            ))
+
     def _add(self, model: Model) -> None:
         if model.config.materialized == "view" and not isinstance(model.body, str):
             raise ConfigError(f"model `{model.name}` is Python code and cannot be stored as a view")

@@ -33,6 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_folder.name
 
 
+def task_count(spark: SparkSession) -> int:
+    """How many tasks to spread work over whose weight does not show in its bytes.
+
+    Adaptive coalescing would put such rows into a few tasks; a repartition to
+    a given number is left alone.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def scratch_path(spark: SparkSession, label: str = "scratch") -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}_{uuid.uuid4().hex[:12]}"

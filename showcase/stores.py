@@ -291,7 +291,7 @@ def project_scoring(spark, sf_dir):
     def stg_customers(ctx, spark):
         return customer_activity(spark, sf_dir)
 
-    @project.model(refs=["stg_customers"], cpus_per_worker=2)
+    @project.model(refs=["stg_customers"])
     def scored_customers(ctx, spark):
         return ctx.parallel_map(
             ctx.ref("stg_customers"), score_customer, adds="churn_score double",

@@ -127,6 +127,20 @@ def test_changing_an_input_column(spark, rows):
     assert beside.columns == ["id", "v"] and rows(beside) == [(1, "1"), (2, "2")]
 
 
+def test_a_failed_row_shows_what_came_in(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (2, [3])], "id int, v array<int>")
+
+    def spoils(row):
+        row["id"] = 99
+        row["v"].append(0)
+        if row["v"][0] == 3:
+            raise ValueError("no")
+        return {**row, "n": 1}
+
+    got = parallel_map(df, spoils, adds="n int", on_error="column").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(2, [3], None, "no"), (99, [1, 2, 0], 1, None)]
+
+
 def trouble(row):
     if row["id"] % 4 == 0:
         raise ValueError(f"bad id {row['id']}")

@@ -327,6 +327,48 @@ def test_incremental_sql_model(spark, schema, rows):
     assert rows(spark.table(f"{schema}.copy")) == [(0,), (1,), (2,), (3,), (4,)]
 
 
+def test_texts_with_settings_and_comments(spark, schema, rows):
+    project = Project(schema)
+    project.sql_model("stg", """{{ config(materialized="view") }}
+        {# inline rows,
+           two of them #}
+        select * from (values (1, 100), (2, 200)) as t(id, n_samples)""")
+    project.sql_model("kept", """{{ config(materialized='table', timeout_s=60) }}
+        select id, n_samples * 2 as n from {{ ref("stg") }} order by id""")
+    assert project.models["kept"].config.timeout_s == 60
+    assert [(r.model, r.rows) for r in project.run(spark)] == [("stg", None), ("kept", 2)]
+    assert rows(spark.table(f"{schema}.kept")) == [(1, 200), (2, 400)]
+    with pytest.raises(ConfigError, match="template expression"):
+        project.sql_model("loop", "{% for x in y %} select 1 {% endfor %}")
+    with pytest.raises(ConfigError, match="unknown settings"):
+        project.sql_model("odd", "{{ config(materialised='table') }} select 1")
+
+
+def test_properties_document(spark, schema, rows):
+    replace_table(numbers(spark, 1, 2, 2, None), f"{schema}.raw_numbers")
+    project = Project(schema)
+    project.sql_model("staged", "select x from {{ source('raw', 'numbers') }}")
+    project.model("doubled", refs=["staged"])(lambda ctx, spark: ctx.ref("staged").selectExpr("x * 2 as y"))
+    project.declare({
+        "version": 2,
+        "sources": [{"name": "raw", "schema": schema,
+                     "tables": [{"name": "numbers", "identifier": "raw_numbers", "description": "-"}]}],
+        "models": [
+            {"name": "staged", "columns": [{"name": "x", "tests": ["not_null"]}]},
+            {"name": "doubled", "config": {"materialized": "incremental", "workers": "5"},
+             "columns": [{"name": "y", "data_tests": ["not_null", "unique"]}, {"name": "z"}]},
+        ],
+    })
+    assert project.models["doubled"].config.workers == 5
+    project.run(spark)
+    project.run(spark, select=["doubled"])
+    assert spark.table(f"{schema}.doubled").count() == 8
+    assert rows(project.test(spark)) == [
+        ("doubled", "y", "not_null", 2), ("doubled", "y", "unique", 2), ("staged", "x", "not_null", 1)]
+    with pytest.raises(ConfigError):
+        project.declare({"models": [{"name": "nobody"}]})
+
+
 def test_order_and_alias(spark, schema):
     project = Project(schema, database="spark_catalog")
     project.sql_model("last", "select * from {{ ref('middle') }}", alias="final")
