@@ -18,7 +18,7 @@ Name = str | RelationName
 
 def kind_of(spark: SparkSession, name: Name) -> str | None:
     """``"table"``, ``"view"`` or None for a name the catalog does not know."""
-    text = relation_name(name).render()
+    text = relation_name(name).sql()
     if not spark.catalog.tableExists(text):
         return None
     return "view" if spark.catalog.getTable(text).tableType in ("VIEW", "TEMPORARY") else "table"
@@ -28,14 +28,14 @@ def create_schema(spark: SparkSession, name: Name) -> None:
     """Make the schema a relation lives in, if it has one and it is missing."""
     target = relation_name(name)
     if target.schema:
-        spark.sql(f"create schema if not exists {RelationName(None, target.database, target.schema)}")
+        spark.sql(f"create schema if not exists {target.schema.sql()}")
 
 
 def drop(spark: SparkSession, name: Name) -> None:
     """Drop a table or view; a missing one is fine."""
     kind = kind_of(spark, name)
     if kind:
-        spark.sql(f"drop {kind} if exists {relation_name(name)}")
+        spark.sql(f"drop {kind} if exists {relation_name(name).sql()}")
 
 
 def create_view(spark: SparkSession, name: Name, query: str) -> None:
@@ -43,7 +43,7 @@ def create_view(spark: SparkSession, name: Name, query: str) -> None:
     create_schema(spark, name)
     if kind_of(spark, name) == "table":
         drop(spark, name)
-    spark.sql(f"create or replace view {relation_name(name)} as {query}")
+    spark.sql(f"create or replace view {relation_name(name).sql()} as {query}")
 
 
 def replace_table(
@@ -62,7 +62,7 @@ def replace_table(
     mark = uuid.uuid4().hex[:8]
     staging, backup = target.sibling(f"__stg_{mark}"), target.sibling(f"__bak_{mark}")
     try:
-        with time_limit(spark, timeout_s, target.identifier):
+        with time_limit(spark, timeout_s, target.table):
             rows = _save(df, staging, "error", format)
         before = kind_of(spark, target)
         if before == "table":
@@ -94,15 +94,15 @@ def append_table(
     target = relation_name(name)
     create_schema(spark, target)
     if kind_of(spark, target) is not None:
-        have = spark.table(target.render()).columns
+        have = spark.table(target.sql()).columns
         if set(have) != set(df.columns):
             raise ResultError(
-                f"columns differ from table {target.render_unquoted()}: "
+                f"columns differ from table {target.dotted()}: "
                 f"missing {sorted(set(have) - set(df.columns))}, "
                 f"not in the table {sorted(set(df.columns) - set(have))}"
             )
         df = df.select(*[F.col(f"`{c}`") for c in have])
-    with time_limit(spark, timeout_s, target.identifier):
+    with time_limit(spark, timeout_s, target.table):
         return _save(df, target, "append", format, partition_by)
 
 
@@ -117,7 +117,7 @@ def overwrite_partitions(df: DataFrame, name: Name) -> None:
     before = conf.get(mode)
     conf.set(mode, "dynamic")
     try:
-        df.write.insertInto(relation_name(name).render(), overwrite=True)
+        df.write.insertInto(relation_name(name).sql(), overwrite=True)
     finally:
         conf.set(mode, before)
 
@@ -130,13 +130,12 @@ def _save(
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(format).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(target.render())
+    writer.saveAsTable(target.sql())
     return int(seen.get.get("rows", 0))
 
 
 def _rename(spark: SparkSession, old: RelationName, new: RelationName) -> None:
-    within_catalog = RelationName(None, new.schema, new.identifier)
-    spark.sql(f"alter table {old} rename to {within_catalog}")
+    spark.sql(f"alter table {old.sql()} rename to {new.within_catalog().sql()}")
 
 
 @contextmanager
@@ -200,12 +199,12 @@ def snapshot(
             partition_by=["valid_to"], timeout_s=timeout_s,
         )
 
-    history = spark.table(target.render())
+    history = spark.table(target.sql())
     time_type = history.schema["valid_from"].dataType
     now, still_open = as_of.cast(time_type), F.lit(None).cast(time_type)
     columns = [c for c in history.columns if c not in ("valid_from", "valid_to")]
     if set(columns) != set(df.columns):
-        raise ResultError(f"columns differ from those of the history {target.render_unquoted()}")
+        raise ResultError(f"columns differ from those of the history {target.dotted()}")
 
     state = F.struct(*[F.col(f"`{c}`") for c in columns])
     was = history.where(F.col("valid_to").isNull()).select(
@@ -231,13 +230,13 @@ def snapshot(
     # down first; then only the partitions they fill are replaced
     staging = target.sibling(f"__stg_{uuid.uuid4().hex[:8]}")
     try:
-        with time_limit(spark, timeout_s, target.identifier):
+        with time_limit(spark, timeout_s, target.table):
             rows = _save(changed, staging, "error", "parquet")
-            written = spark.table(staging.render())
+            written = spark.table(staging.sql())
             overwrite_partitions(written, target)
             if written.where(F.col("valid_to").isNull()).isEmpty():
                 # every key has vanished, so nothing has replaced the open rows
-                spark.sql(f"alter table {target} drop if exists partition (valid_to = null)")
+                spark.sql(f"alter table {target.sql()} drop if exists partition (valid_to = null)")
     finally:
         drop(spark, staging)
     return rows

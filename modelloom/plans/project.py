@@ -150,11 +150,11 @@ class Project:
         """
         for group in document.get("sources") or ():
             for table in group["tables"]:
-                name = RelationName(
-                    group.get("database"), group.get("schema") or group["name"],
-                    table.get("identifier") or table["name"],
-                )
-                self.source(group["name"], table["name"], relation=name.render())
+                place = [group.get("database"), group.get("schema") or group["name"]]
+                name = RelationName((
+                    *filter(None, place), table.get("identifier") or table["name"]
+                ))
+                self.source(group["name"], table["name"], relation=name.sql())
         for entry in document.get("models") or ():
             model = self._known(entry["name"])
             tests = {
@@ -174,9 +174,8 @@ class Project:
     def relation(self, name: str) -> RelationName:
         """Where a model is stored."""
         model = self._known(name)
-        return RelationName.for_model(
-            name, alias=model.alias, schema=self.schema, database=self.database
-        )
+        place = [self.database] if self.database else []
+        return RelationName((*place, self.schema, model.alias or name))
 
     def _known(self, name: str) -> Model:
         try:
@@ -298,9 +297,9 @@ class Context:
 
     def sql_name(self, marker: re.Match) -> str:
         if marker["this"]:
-            return self._project.relation(self._model.name).render()
+            return self._project.relation(self._model.name).sql()
         if marker["ref"]:
-            return self._project.relation(marker["ref"]).render()
+            return self._project.relation(marker["ref"]).sql()
         return self._project.declared[marker["group"], marker["table"]].sql_name()
 
 

@@ -38,7 +38,7 @@ class Source:
     def sql_name(self) -> str:
         """How SQL text names this source."""
         if self.relation is not None:
-            return relation_name(self.relation).render()
+            return relation_name(self.relation).sql()
         if self.schema or self.options:
             raise ConfigError(
                 f"source {self.group}.{self.table} has reader options; "

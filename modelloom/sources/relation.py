@@ -15,58 +15,49 @@ _PART = re.compile(r'\s*(?:"((?:[^"]|"")+)"|`((?:[^`]|``)+)`|([^.\s"`][^."`]*?))
 
 @dataclass(frozen=True)
 class RelationName:
-    """``database.schema.identifier``, of which only the last part is required."""
+    """One to three name parts: catalog, schema and table, of which the last is required."""
 
-    database: str | None
-    schema: str | None
-    identifier: str
+    parts: tuple[str, ...]
 
     @classmethod
     def parse(cls, text: str) -> RelationName:
-        """Read one to three dotted parts; dots inside quotes belong to the part."""
+        """Split at dots; those inside quotes belong to the part."""
         parts: list[str] = []
-        at = 0
-        while True:
+        at, more = 0, True
+        while more:
             match = _PART.match(text, at)
             if match is None:
                 raise ConfigError(f"not a relation name: {text!r}")
-            double, tick, bare, end = match.groups()
-            if double is not None:
-                parts.append(double.replace('""', '"'))
-            elif tick is not None:
-                parts.append(tick.replace("``", "`"))
-            else:
-                parts.append(bare)
+            double, tick, bare, more = match.groups()
+            parts.append(bare or (double or "").replace('""', '"') or tick.replace("``", "`"))
             at = match.end()
-            if not end:
-                break
         if len(parts) > 3:
             raise ConfigError(f"more than three parts in relation name: {text!r}")
-        return cls(*([None] * (3 - len(parts))), *parts)
-
-    @classmethod
-    def for_model(
-        cls, name: str, *, alias: str | None = None, schema: str | None = None,
-        database: str | None = None,
-    ) -> RelationName:
-        return cls(database, schema, alias or name)
+        return cls(tuple(parts))
 
     @property
-    def parts(self) -> tuple[str, ...]:
-        return tuple(p for p in (self.database, self.schema, self.identifier) if p)
+    def table(self) -> str:
+        return self.parts[-1]
 
-    def render(self, quote: str = "`") -> str:
-        return ".".join(quote + p.replace(quote, quote * 2) + quote for p in self.parts)
+    @property
+    def schema(self) -> RelationName | None:
+        """The name of the schema the relation lies in, if it is given."""
+        return RelationName(self.parts[:-1]) if len(self.parts) > 1 else None
 
-    def render_unquoted(self) -> str:
-        return ".".join(self.parts)
+    def within_catalog(self) -> RelationName:
+        return RelationName(self.parts[-2:])
 
     def sibling(self, suffix: str) -> RelationName:
         """Another relation next to this one."""
-        return RelationName(self.database, self.schema, self.identifier + suffix)
+        return RelationName((*self.parts[:-1], self.table + suffix))
+
+    def sql(self, quote: str = "`") -> str:
+        """As SQL text, every part in quotes."""
+        return ".".join(f"{quote}{part.replace(quote, quote * 2)}{quote}" for part in self.parts)
 
-    def __str__(self) -> str:
-        return self.render()
+    def dotted(self) -> str:
+        """Without quotes, for messages."""
+        return ".".join(self.parts)
 
 
 def relation_name(name: str | RelationName) -> RelationName:
@@ -75,4 +66,4 @@ def relation_name(name: str | RelationName) -> RelationName:
 
 def read_relation(spark: SparkSession, name: str | RelationName) -> DataFrame:
     """The whole relation, lazily: later filters and column choices reach the scan."""
-    return spark.table(relation_name(name).render())
+    return spark.table(relation_name(name).sql())

@@ -53,7 +53,7 @@ def append_stream(
             start.withColumn(BATCH_COLUMN, F.lit("")), target,
             format=format, partition_by=[BATCH_COLUMN],
         )
-    columns = spark.table(target.render()).columns
+    columns = spark.table(target.sql()).columns
     started = threading.Event()
     query: StreamingQuery | None = None
 

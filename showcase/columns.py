@@ -54,6 +54,7 @@ def src_relation_name(spark, sf_dir):
         read_relation(spark, name).select(F.lit(i + 1).alias("parts"), "*")
         for i, name in enumerate(names)
     ]
+    spark.catalog.dropTempView(alone)  # the frame has its plan already
     return one.union(two).union(three)
 
 

@@ -6,23 +6,24 @@ from hypothesis import strategies as st
 
 from modelloom.config import ModelConfig
 from modelloom.errors import ConfigError
+from modelloom.plans import Project
 from modelloom.sources import RelationName, Source, read_relation
 
 
 @pytest.mark.parametrize("text, parts", [
-    ('"db"."main"."stg_orders"', ("db", "main", "stg_orders")),
-    ("db.main.stg_orders", ("db", "main", "stg_orders")),
-    ('"db".main."stg_orders"', ("db", "main", "stg_orders")),
-    ("`my-project`.`dataset`.`table`", ("my-project", "dataset", "table")),
-    ("main.stg_orders", (None, "main", "stg_orders")),
-    ("stg_orders", (None, None, "stg_orders")),
-    (' "a.b" . c ', (None, "a.b", "c")),
-    ('"say ""hi"""', (None, None, 'say "hi"')),
-    ("`tick``ed`", (None, None, "tick`ed")),
-    ("my-project.t", (None, "my-project", "t")),
+    ('"shop"."core"."sales"', ("shop", "core", "sales")),
+    ("shop.core.sales", ("shop", "core", "sales")),
+    ('"shop".core."sales"', ("shop", "core", "sales")),
+    ("`my-shop`.`core`.`table`", ("my-shop", "core", "table")),
+    ("core.sales", ("core", "sales")),
+    ("sales", ("sales",)),
+    (' "a.b" . c ', ("a.b", "c")),
+    ('"say ""hi"""', ('say "hi"',)),
+    ("`tick``ed`", ("tick`ed",)),
+    ("my-shop.t", ("my-shop", "t")),
 ])
 def test_parse(text, parts):
-    assert RelationName.parse(text) == RelationName(*parts)
+    assert RelationName.parse(text).parts == parts
 
 
 @pytest.mark.parametrize("text", ["", "  ", "a.b.c.d", "a.b.c.d.e", "a..b", "a.", ".a", '"a"b', '""'])
@@ -32,24 +33,32 @@ def test_parse_rejects(text):
 
 
 @given(st.lists(st.text(min_size=1, max_size=8), min_size=1, max_size=3), st.sampled_from('"`'))
-def test_render_and_parse_are_inverse(parts, quote):
-    name = RelationName(*([None] * (3 - len(parts))), *parts)
-    assert RelationName.parse(name.render(quote)) == name
-
-
-def test_render():
-    name = RelationName("db", "main", "t")
-    assert name.render() == "`db`.`main`.`t`"
-    assert name.render('"') == '"db"."main"."t"'
-    assert name.render_unquoted() == "db.main.t"
-    assert RelationName(None, "main", "t").render_unquoted() == "main.t"
+def test_sql_text_and_parse_are_inverse(parts, quote):
+    name = RelationName(tuple(parts))
+    assert RelationName.parse(name.sql(quote)) == name
+
+
+def test_texts_and_relatives():
+    name = RelationName(("shop", "core", "t"))
+    assert name.sql() == "`shop`.`core`.`t`"
+    assert name.sql('"') == '"shop"."core"."t"'
+    assert name.dotted() == "shop.core.t"
+    assert name.schema.parts == ("shop", "core")
+    assert name.within_catalog().parts == ("core", "t")
+    assert name.sibling("_2").parts == ("shop", "core", "t_2")
+    assert RelationName(("t",)).schema is None
     with pytest.raises(dataclasses.FrozenInstanceError):
-        name.schema = "other"
+        name.parts = ()
 
 
-def test_model_name_is_alias_or_name():
-    assert RelationName.for_model("m", schema="s").parts == ("s", "m")
-    assert RelationName.for_model("m", alias="a", schema="s", database="d").parts == ("d", "s", "a")
+def test_model_is_stored_under_alias_or_name():
+    project = Project("core")
+    project.sql_model("m", "select 1 as a")
+    project.sql_model("n", "select 1 as a", alias="b")
+    assert [project.relation(x).dotted() for x in "mn"] == ["core.m", "core.b"]
+    other = Project("core", database="shop")
+    other.sql_model("m", "select 1 as a")
+    assert other.relation("m").dotted() == "shop.core.m"
 
 
 def test_config_defaults_and_overrides():
