@@ -62,9 +62,10 @@ def monte_carlo_pi(
             F.max(n).alias(n),
             F.count_if(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y") <= 1.0).alias("_inside"),
         )
+        .withColumn("_tried", F.greatest(F.coalesce(F.col(n), F.lit(1)), F.lit(1)))
         .select(
             key, n,
-            (4.0 * F.col("_inside") / F.greatest(F.coalesce(F.col(n), F.lit(1)), F.lit(1))).alias("pi_estimate"),
+            (4.0 * F.col("_inside") / F.col("_tried")).alias("pi_estimate"),
             F.lit(None).cast("string").alias("error"),
         )
     )

@@ -51,10 +51,10 @@ def replace_table(
 ) -> int:
     """Store ``df`` as the table, whatever the table held before; returns the row count.
 
-    The new table is written next to the old one, which stays readable (also
-    for ``df`` itself) until the write is done. Then they change names; if that
-    fails the old one gets its name back. The two renames are not one step for
-    readers, since the session catalog has no transactions.
+    The new table is written next to the old one (or view), which stays
+    readable, also for ``df`` itself, until the write is done. Then they change
+    names; if that fails the old one gets its name back. The two renames are not
+    one step for readers, since the session catalog has no transactions.
     """
     spark = df.sparkSession
     target = relation_name(name)
@@ -65,15 +65,13 @@ def replace_table(
         with time_limit(spark, timeout_s, target.table):
             rows = _save(df, staging, "error", format)
         before = kind_of(spark, target)
-        if before == "table":
-            _rename(spark, target, backup)
-        elif before == "view":
-            drop(spark, target)
+        if before:
+            _rename(spark, before, target, backup)
         try:
-            _rename(spark, staging, target)
+            _rename(spark, "table", staging, target)
         except Exception:
-            if before == "table":
-                _rename(spark, backup, target)
+            if before:
+                _rename(spark, before, backup, target)
             raise
         drop(spark, backup)
     finally:
@@ -134,8 +132,8 @@ def _save(
     return int(seen.get.get("rows", 0))
 
 
-def _rename(spark: SparkSession, old: RelationName, new: RelationName) -> None:
-    spark.sql(f"alter table {old.sql()} rename to {new.within_catalog().sql()}")
+def _rename(spark: SparkSession, kind: str, old: RelationName, new: RelationName) -> None:
+    spark.sql(f"alter {kind} {old.sql()} rename to {new.within_catalog().sql()}")
 
 
 @contextmanager

@@ -132,7 +132,9 @@ class Project:
         both = text + (incremental_text or "")
         markers = list(_MARKER.finditer(both))
         if re.search(r"\{[{%]", _MARKER.sub("", both)):
-            raise ConfigError(f"model `{name}` has a template expression other than ref, source, this, config")
+            raise ConfigError(
+                f"model `{name}` has a template expression other than ref, source, this, config"
+            )
         self._add(Model(
             name, text, self.defaults.override({"materialized": "view", **inside, **settings}),
             tuple(dict.fromkeys(m["ref"] for m in markers if m["ref"])),

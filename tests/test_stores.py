@@ -78,22 +78,27 @@ def test_failed_replacement_leaves_the_old_table(spark, schema, rows):
     assert tables(spark, schema) == ["t"]
 
 
-def test_failed_rename_brings_the_old_table_back(spark, schema, rows, monkeypatch):
+@pytest.mark.parametrize("kind", ["table", "view"])
+def test_failed_rename_brings_the_old_relation_back(spark, schema, rows, monkeypatch, kind):
     from modelloom.operators import materialize
 
     name = f"{schema}.t"
-    replace_table(numbers(spark, 1), name)
+    if kind == "table":
+        replace_table(numbers(spark, 1), name)
+    else:
+        create_view(spark, name, "select 1L as x")
     rename = materialize._rename
 
-    def breaks(spark, old, new):
+    def breaks(spark, kind, old, new):
         if "__stg_" in old.table:
             raise RuntimeError("catalog gone")
-        rename(spark, old, new)
+        rename(spark, kind, old, new)
 
     monkeypatch.setattr(materialize, "_rename", breaks)
     with pytest.raises(RuntimeError, match="catalog gone"):
         replace_table(numbers(spark, 2), name)
     assert rows(spark.table(name)) == [(1,)]
+    assert kind_of(spark, name) == kind
     assert tables(spark, schema) == ["t"]
 
 
