@@ -34,7 +34,7 @@ from modelloom.errors import ConfigError, ResultError
 from modelloom.shared import is_local
 
 MODES = ("row", "list", "batch", "partition")
-BUNDLE = 10_000  # rows converted between Arrow and Python at a time
+BUNDLE_ROWS, BUNDLE_BYTES = 10_000, 64 << 20  # converted between Arrow and Python at a time
 _MISFITS = (pa.ArrowException, TypeError, ValueError, OverflowError)
 ERROR_COLUMN = "error"
 
@@ -282,18 +282,19 @@ def _apply_rows(
             outs.append(None)
             errors[i] = _message(exc)
 
+    def column(field: pa.Field, bad: dict[int, str]) -> pa.Array | None:
+        name = field.name
+        given = name in batch.schema.names and name not in added
+        if given and added and (
+            brief or name not in inputs or _untouched(field, inputs[name], outs)
+        ):
+            return batch.column(name).cast(field.type)
+        given = given and batch.schema.field(name).type == field.type
+        return _built(field, outs, batch.column(name) if given else None, bad)
+
     while True:
         bad: dict[int, str] = {}
-        arrays = [
-            batch.column(f.name).cast(f.type)
-            if f.name in batch.schema.names and f.name not in added and added
-            and (brief or f.name not in names or _untouched(f, inputs[f.name], outs))
-            else _built(
-                f, outs, bad, *([] if f.name in added or f.name not in inputs
-                                else [inputs[f.name], batch.column(f.name)])
-            )
-            for f in fields
-        ]
+        arrays = [column(field, bad) for field in fields]
         if not bad:
             return arrays, errors
         if not shape.keep_errors:
@@ -311,17 +312,15 @@ def _untouched(field: pa.Field, given: list, outs: list[dict | None]) -> bool:
 
 
 def _built(
-    field: pa.Field, outs: list[dict | None], bad: dict[int, str],
-    given: list | None = None, column: pa.Array | None = None,
+    field: pa.Field, outs: list[dict | None], given: pa.Array | None, bad: dict[int, str]
 ) -> pa.Array | None:
     """A column of result values. Rows whose value does not fit its type go to ``bad``."""
     name = field.name
-    if given is None:
-        values = [None if out is None else out[name] for out in outs]
+    if all(out is not None and name in out for out in outs):
+        values = [out[name] for out in outs]
     else:  # failed rows and brief results keep what came in
-        if pa.types.is_nested(field.type):  # which the function may have changed since
-            given = column.to_pylist()
-        values = [v if out is None else out.get(name, v) for out, v in zip(outs, given)]
+        values = given.to_pylist() if given is not None else [None] * len(outs)
+        values = [v if out is None else out.get(name, v) for out, v in zip(outs, values)]
     try:
         return pa.array(values, field.type)
     except _MISFITS:
@@ -378,12 +377,12 @@ def _chunk_task(
     bind: Callable, shape: _Shape, size: int | None, unpack: Callable, cut: Callable, pack: Callable
 ) -> Callable:
     """Many calls per conversion: small batches are cut from a bundle and results put together."""
-    bundle = None if size is None else size * max(1, BUNDLE // size)
 
     def results(call: Callable, table: pa.Table) -> Iterator[pa.RecordBatch]:
         whole, count = unpack(table), table.num_rows
-        for start in range(0, count, size or count or 1):
-            stop = min(start + (size or count), count)
+        step = size or max(count, 1)
+        for start in range(0, count, step):
+            stop = min(start + step, count)
             try:
                 yield pack(call(cut(whole, start, stop)), shape)
                 continue
@@ -401,50 +400,48 @@ def _chunk_task(
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for call, todo in _started(batches, bind):
-            held: list[pa.RecordBatch] = []
-            for table in _sliced(todo, bundle):
-                for result in results(call, table):
-                    held.append(result)
-                    if sum(b.num_rows for b in held) >= BUNDLE:
-                        yield from _joined(held)
-                        held = []
-            yield from _joined(held)
+            parts = (part for table in _bundles(todo, size) for part in results(call, table))
+            for table in _bundles(parts, 1):
+                yield from table.combine_chunks().to_batches()
 
     return task
 
 
-def _joined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
-    if len(batches) < 2:
-        return batches
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()
-
-
 def _stream_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for table in _bundles(batches, size):
+            for start in range(0, table.num_rows, size or max(table.num_rows, 1)):
+                yield table.slice(start, size).to_pandas(use_threads=False)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for call, todo in _started(batches, bind):
-            for frame in call(t.to_pandas(use_threads=False) for t in _sliced(todo, size)):
+            for frame in call(frames(todo)):
                 yield _from_frame(frame, shape)
 
     return task
 
 
-def _sliced(batches: Iterable[pa.RecordBatch], size: int | None) -> Iterator[pa.Table]:
-    """Tables of ``size`` rows, the last one shorter; without a size, as they come."""
+def _bundles(batches: Iterable[pa.RecordBatch], size: int | None) -> Iterator[pa.Table]:
+    """Tables of some multiple of ``size`` rows (the last one may have a rest).
+
+    Big enough to make converting them worth while, small enough for memory;
+    without a size, the batches as they come.
+    """
     if size is None:
         yield from (pa.Table.from_batches([b]) for b in batches)
         return
     held: list[pa.RecordBatch] = []
-    missing = size
+    count = weight = 0
     for batch in batches:
-        while batch.num_rows:
-            part = batch.slice(0, missing)
-            batch = batch.slice(part.num_rows)
-            held.append(part)
-            missing -= part.num_rows
-            if not missing:
-                yield pa.Table.from_batches(held)
-                held, missing = [], size
-    if held:
+        held.append(batch)
+        count += batch.num_rows
+        weight += batch.nbytes
+        if count >= size and (count >= BUNDLE_ROWS or weight >= BUNDLE_BYTES):
+            table = pa.Table.from_batches(held)
+            rest = table.slice(count - count % size)
+            yield table.slice(0, count - count % size)
+            held, count, weight = rest.to_batches(), rest.num_rows, rest.nbytes
+    if count:
         yield pa.Table.from_batches(held)
 
 

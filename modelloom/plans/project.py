@@ -9,6 +9,7 @@ Spark SQL text with ``{{ ref('x') }}``, ``{{ source('g', 't') }}`` and
 
 from __future__ import annotations
 
+import logging
 import re
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
@@ -26,6 +27,8 @@ from modelloom.operators.materialize import append_table, create_view, kind_of,
 from modelloom.operators.parallel import parallel_map, worker_resources
 from modelloom.sources import RelationName, Source, read_relation
 
+log = logging.getLogger("modelloom")
+
 _MARKER = re.compile(
     r"""\{\{\s*(?:(?P<this>this)
         |ref\(\s*(?P<q1>['"])(?P<ref>[^'"]+)(?P=q1)\s*\)
@@ -227,9 +230,9 @@ class Project:
             raise ModelError(model.name, exc) from exc
         except Exception as exc:
             raise ModelError(model.name, exc) from exc
-        return ModelRun(
-            model.name, model.config.materialized, rows, round(time.perf_counter() - start, 3)
-        )
+        took = round(time.perf_counter() - start, 3)
+        log.info("model %s: %s, %s rows, %.2f s", model.name, model.config.materialized, rows, took)
+        return ModelRun(model.name, model.config.materialized, rows, took)
 
     def _build(self, spark: SparkSession, model: Model, full_refresh: bool) -> int | None:
         target = self.relation(model.name)

@@ -4,6 +4,8 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PythonException
 from pyspark.resource import ResourceProfile
 
@@ -92,6 +94,27 @@ def test_types_survive(spark):
     assert beside.first().m == 8
 
 
+cell = st.tuples(
+    st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)),
+    st.one_of(st.none(), st.floats(allow_nan=True)),
+    st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]), max_size=5)),
+    st.one_of(st.none(), st.booleans()),
+    st.one_of(st.none(), st.lists(st.one_of(st.none(), st.integers(-9, 9)), max_size=3)),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(cell, max_size=20))
+def test_any_values_go_through_unchanged(spark, data):
+    df = spark.createDataFrame(data, "a bigint, b double, c string, d boolean, e array<int>").coalesce(2)
+    expected = sorted(map(repr, df.collect()))
+    for how in (
+        dict(fn=lambda r: r), dict(fn=lambda r: {**r}, workers=2), dict(fn=lambda rs: rs, mode="list", batch_size=3),
+        dict(fn=lambda r: dict(r), schema="a bigint, b double, c string, d boolean, e array<int>"),
+    ):
+        assert sorted(map(repr, parallel_map(df, **how).collect())) == expected
+
+
 def test_timestamps_keep_their_instant_in_any_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
@@ -141,6 +164,38 @@ def test_a_failed_row_shows_what_came_in(spark):
     assert [tuple(r) for r in got] == [(2, [3], None, "no"), (99, [1, 2, 0], 1, None)]
 
 
+def test_failed_rows_of_a_full_schema(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+
+    def fn(row):
+        return {"id": str(1 // (row["id"] - 1)), "v": row["v"]}
+
+    for mode, call in (("row", fn), ("list", lambda rs: [fn(r) for r in rs])):
+        result = parallel_map(df, call, schema="id string, v string", mode=mode, on_error="column").orderBy("v")
+        first, second = result.collect()
+        assert (first.id, first.v) == (None, "a") and "zero" in first.error
+        assert tuple(second) == ("1", "b", None)
+
+
+@pytest.mark.parametrize("mode", ["list", "batch", "partition"])
+def test_bundles_are_cut_by_weight(spark, mode, monkeypatch):
+    from modelloom.operators import parallel
+
+    monkeypatch.setattr(parallel, "BUNDLE_BYTES", 100)
+    df = spark.range(0, 95, numPartitions=1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    fn = {
+        "list": lambda rs: [{"n": len(rs), "least": rs[0]["id"]}],
+        "batch": lambda p: pd.DataFrame({"n": [len(p)], "least": [p.id[0]]}),
+        "partition": lambda ps: (pd.DataFrame({"n": [len(p)], "least": [p.id[0]]}) for p in ps),
+    }[mode]
+    try:
+        got = parallel_map(df, fn, schema="n bigint, least bigint", mode=mode, batch_size=10).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.least, r.n) for r in got) == [(i, 10) for i in range(0, 90, 10)] + [(90, 5)]
+
+
 def trouble(row):
     if row["id"] % 4 == 0:
         raise ValueError(f"bad id {row['id']}")
