@@ -7,7 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from modelloom.functions import bucketize, flag
+from modelloom.functions import bucketize, empty_like, flag
 from modelloom.operators import (
     churn_score,
     embed_text,
@@ -131,6 +131,37 @@ def map_error_column(spark, sf_dir):
     return parallel_map(lines, _inverse_discount, adds="inverse double", on_error="column")
 
 
+@query("map_empty_input", NET_SQL)
+def map_empty_input(spark, sf_dir):
+    """A map over no rows has the same columns, so its result goes together with the others."""
+    lines = read(spark, sf_dir, "lineitem").select(*LINE)
+    nothing = parallel_map(empty_like(lines), _net_row, adds="net double")
+    return nothing.unionByName(
+        parallel_map(lines, _net_row, adds="net double", input_cols=["l_extendedprice", "l_discount"])
+    )
+
+
+def _sometimes_wrong(row):
+    if row["l_linenumber"] == 1:
+        return {"l_linenumber": 1, "note": "too little"}
+    if row["l_linenumber"] == 2:
+        return {**row, "twice": 4, "note": "too much"}
+    return {**row, "twice": 2 * row["l_linenumber"]}
+
+
+@query("map_result_check", """
+    select l_orderkey, l_linenumber, case when l_linenumber > 2 then 2 * l_linenumber end as twice,
+        case l_linenumber
+            when 1 then 'result does not fit the declared columns: '
+                || 'missing [''l_orderkey'', ''twice''], not declared [''note'']'
+            when 2 then 'result does not fit the declared columns: missing [], not declared [''note'']'
+        end as error from lineitem""")
+def map_result_check(spark, sf_dir):
+    """Results with columns too few or too many."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return parallel_map(lines, _sometimes_wrong, adds="twice int", on_error="column")
+
+
 @query("map_worker_cap", """
     select o_orderkey, cast(o_totalprice as bigint) as amount, length(o_orderpriority) as n
     from (select o_orderkey, floor(o_totalprice) as o_totalprice, o_orderpriority from orders)""")

@@ -8,6 +8,7 @@ from modelloom.functions import bucketize, cents_rounded, cents_truncated, fill_
 from modelloom.operators import (
     append_table,
     create_view,
+    drop,
     monte_carlo_pi,
     not_null,
     parallel_map,
@@ -83,6 +84,19 @@ def mat_backup_swap(spark, sf_dir):
     return read_relation(spark, project.relation("segments"))
 
 
+@query("mat_drop", "select p_partkey, p_name from part")
+def mat_drop(spark, sf_dir):
+    """A view and a table are dropped, a missing one is no error, and the name is free again."""
+    name = f"{scratch_schema(spark)}.t"
+    create_view(spark, name, f"select * from parquet.`{path(sf_dir, 'supplier')}`")
+    drop(spark, name)
+    append_table(read(spark, sf_dir, "supplier"), name)
+    drop(spark, name)
+    drop(spark, name)
+    append_table(read(spark, sf_dir, "part").select("p_partkey", "p_name"), name)
+    return read_relation(spark, name)
+
+
 @query("mat_incremental_append", "select o_orderkey, o_orderdate, o_totalprice from orders")
 def mat_incremental_append(spark, sf_dir):
     """Two halves by date; the second has its columns in another order."""
