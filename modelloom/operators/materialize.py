@@ -15,6 +15,9 @@ from modelloom.sources import RelationName, relation_name
 
 Name = str | RelationName
 
+# table formats whose catalogs replace a table in one transaction
+TRANSACTIONAL = ("delta", "iceberg")
+
 
 def kind_of(spark: SparkSession, name: Name) -> str | None:
     """``"table"``, ``"view"`` or None for a name the catalog does not know."""
@@ -54,11 +57,18 @@ def replace_table(
     The new table is written next to the old one (or view), which stays
     readable, also for ``df`` itself, until the write is done. Then they change
     names; if that fails the old one gets its name back. The two renames are not
-    one step for readers, since the session catalog has no transactions.
+    one step for readers, since the session catalog has no transactions; a
+    transactional table format replaces the table in one commit instead.
     """
     spark = df.sparkSession
     target = relation_name(name)
     create_schema(spark, target)
+    if format in TRANSACTIONAL:
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        with time_limit(spark, timeout_s, target.table):
+            counted.writeTo(target.sql()).using(format).createOrReplace()
+        return int(seen.get.get("rows", 0))
     mark = uuid.uuid4().hex[:8]
     staging, backup = target.sibling(f"__stg_{mark}"), target.sibling(f"__bak_{mark}")
     try:

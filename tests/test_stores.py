@@ -79,6 +79,15 @@ def test_failed_replacement_leaves_the_old_table(spark, schema, rows):
     assert tables(spark, schema) == ["t"]
 
 
+def test_table_format_that_is_not_installed(spark, schema, rows):
+    name = f"{schema}.t"
+    replace_table(numbers(spark, 1), name)
+    with pytest.raises(Exception):
+        replace_table(numbers(spark, 2), name, format="iceberg")
+    assert rows(spark.table(name)) == [(1,)]
+    assert tables(spark, schema) == ["t"]
+
+
 @pytest.mark.parametrize("kind", ["table", "view"])
 def test_failed_rename_brings_the_old_relation_back(spark, schema, rows, monkeypatch, kind):
     from modelloom.operators import materialize
