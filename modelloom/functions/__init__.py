@@ -7,10 +7,11 @@ from modelloom.functions.columns import (
     empty_like,
     fill_template,
     flag,
+    free_name,
     json_fields,
 )
 
 __all__ = [
     "as_text", "bucketize", "cents_rounded", "cents_truncated", "default_if_falsy",
-    "empty_like", "fill_template", "flag", "json_fields",
+    "empty_like", "fill_template", "flag", "free_name", "json_fields",
 ]

@@ -17,6 +17,13 @@ def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name for a helper column that the frame does not have yet."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def cents_truncated(amount: Column | str) -> Column:
     """Amount in cents, cut off toward zero."""
     return (_col(amount).cast("double") * 100).cast("bigint")

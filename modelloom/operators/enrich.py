@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from modelloom.errors import ConfigError
-from modelloom.functions import json_fields
+from modelloom.functions import free_name, json_fields
 from modelloom.operators.parallel import ERROR_COLUMN, parallel_map
 from modelloom.shared import task_count
 
@@ -23,10 +23,6 @@ def ticket_prompt(subject: Column, body: Column) -> Column:
     return F.concat(F.lit("Subject: "), subject, F.lit("\n\n"), body)
 
 
-def _ask(row: dict, client: Callable[[str], str]) -> dict:
-    return {"_reply": client(row["_prompt"])}
-
-
 def enrich(
     df: DataFrame,
     prompt: Column,
@@ -45,26 +41,31 @@ def enrich(
     JSON keeps the row, nulls the fields and fills ``error``.
     """
     names = StructType.fromDDL(fields).fieldNames()
+    question, answer, found = (free_name(df, n) for n in ("_prompt", "_reply", "_fields"))
+
+    def ask(row: dict, client: Callable[[str], str]) -> dict:
+        return {answer: client(row[question])}
+
     asked = parallel_map(
-        df.withColumn("_prompt", prompt),
-        _ask,
-        adds="_reply string",
+        df.withColumn(question, prompt),
+        ask,
+        adds=f"`{answer}` string",
         setup=make_client,
-        input_cols=["_prompt"],
+        input_cols=[question],
         workers=workers,
         on_error=on_error,
         resources=resources,
     )
-    parsed = asked.withColumn("_fields", json_fields("_reply", fields, broken="_corrupt"))
-    broken = F.col("_fields._corrupt").isNotNull()
-    text = F.concat(F.lit("reply is not valid JSON: "), F.col("_fields._corrupt"))
+    parsed = asked.withColumn(found, json_fields(answer, fields, broken="_corrupt"))
+    broken = F.col(f"`{found}`._corrupt").isNotNull()
+    text = F.concat(F.lit("reply is not valid JSON: "), F.col(f"`{found}`._corrupt"))
     if on_error == "column":
         failed = F.coalesce(F.col(ERROR_COLUMN), F.when(broken, text))
     else:
         failed = F.when(broken, F.raise_error(text)).cast("string")
     return parsed.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in names],
-        *[F.when(~broken, F.col(f"_fields.`{n}`")).alias(n) for n in names],
+        *[F.when(~broken, F.col(f"`{found}`.`{n}`")).alias(n) for n in names],
         failed.alias(ERROR_COLUMN),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelloom.functions import free_name
 from modelloom.shared import task_count
 
 # fixed values of the low-discrepancy points
@@ -27,18 +28,18 @@ def fan_out(
     only then expanded: a row with a huge ``n`` is shared by many tasks and no
     array is longer than a chunk. A row without steps stays, with a null step.
     """
-    steps = F.col(n).cast("bigint")
+    steps, start = F.col(n).cast("bigint"), free_name(df, "_start")
     starts = F.when(
         steps > 0, F.sequence(F.lit(1).cast("bigint"), steps, F.lit(chunk).cast("bigint"))
     )
-    last = F.least(F.col("_start") + F.lit(chunk - 1), steps)
+    last = F.least(F.col(start) + F.lit(chunk - 1), steps)
     return (
-        df.withColumn("_start", F.explode_outer(starts))
-        .repartition(workers or task_count(df.sparkSession), key, "_start")
+        df.withColumn(start, F.explode_outer(starts))
+        .repartition(workers or task_count(df.sparkSession), key, start)
         .withColumn(
-            into, F.explode_outer(F.when(F.col("_start").isNotNull(), F.sequence("_start", last)))
+            into, F.explode_outer(F.when(F.col(start).isNotNull(), F.sequence(start, last)))
         )
-        .drop("_start")
+        .drop(start)
     )
 
 

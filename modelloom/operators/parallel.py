@@ -31,6 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
 from modelloom.errors import ConfigError, ResultError
+from modelloom.functions import free_name
 from modelloom.shared import is_local
 
 MODES = ("row", "list", "batch", "partition")
@@ -248,9 +249,10 @@ def _map_beside(
     call = F.arrow_udf(task, answer).asNondeterministic()
     seen = F.struct(*[F.col(f"`{c}`") for c in shape.seen])
     new = set(answer.fieldNames())
-    return df.withColumn("_answer", call(seen)).select(
+    slot = free_name(df, "_answer")
+    return df.withColumn(slot, call(seen)).select(
         *[
-            F.col(f"_answer.`{n}`" if n in new else f"`{n}`").alias(n)
+            F.col(f"`{slot}`.`{n}`" if n in new else f"`{n}`").alias(n)
             for n in _result_schema(result, shape.keep_errors).fieldNames()
         ]
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from modelloom.functions import default_if_falsy
+from modelloom.functions import default_if_falsy, free_name
 from modelloom.operators.parallel import bind_setup
 from modelloom.shared import scratch_path
 
@@ -85,10 +85,11 @@ def score_batches(
             yield result[names].reset_index(drop=True)
 
     udf = F.pandas_udf(score, adds).asNondeterministic()
-    scored = df.withColumn("_scores", udf(F.struct(*[F.col(f"`{c}`") for c in features])))
+    slot = free_name(df, "_scores")
+    scored = df.withColumn(slot, udf(F.struct(*[F.col(f"`{c}`") for c in features])))
     return scored.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in names],
-        *[F.col(f"_scores.`{n}`").alias(n) for n in names],
+        *[F.col(f"`{slot}`.`{n}`").alias(n) for n in names],
     )
 
 
