@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelloom.llm import bpe, language, packing, quality
+from modelloom.llm import bpe, language, packing, quality, toxicity, urls, warc
 from modelloom.llm.common import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,34 @@ def fold(column: str, of: int):
     return F.crc32(F.col(column).cast("string")) % of
 
 
+@query("op1_warc", """
+    with p as (
+      select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+    ), f as (select *, min(page_id) over (partition by payload_digest) as first_id from p)
+    select page_id, payload_bytes, payload_digest,
+      case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+      case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+    from f""")
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    with Workspace(spark, "warc") as work:
+        records = warc.round_trip(spark, pages, work)
+        return work.result(records.select(
+            F.col("key").cast("bigint").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+            F.col("type").alias("record_type"), F.col("refers_to").cast("bigint").alias("refers_to"),
+        ))
+
+
+@query("op3_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    with Workspace(spark, "toxicity") as work:
+        lexicon = toxicity.learn_lexicon(spark, docs, labels, work)
+    scored = toxicity.toxicity(docs, lexicon)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "hits")
+
+
 @query("op4_quality")
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +74,18 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ))
 
 
+#: Rules as given for the pages table.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op5_urls")
+def urls_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    with Workspace(spark, "urls") as work:
+        judged = urls.judge_urls(spark, pages, URL_RULES, work)
+        return work.result(judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust"))
+
+
 @query("op6_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
