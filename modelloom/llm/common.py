@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -40,6 +41,15 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let Spark drop the shuffle files of frames that nothing refers to any more.
+
+        It does so when the driver collects its garbage, by default every half hour; a job of
+        many written steps would hold the files of all of them until then.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Drop kept tables that later steps need no more."""
         for path in [p for p in self._paths if any(f"/{self.label}_{n}_" in p for n in names)]:

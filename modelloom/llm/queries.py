@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelloom.llm import bpe, language, packing, quality, toxicity, urls, warc
+from modelloom.llm import bpe, language, packing, quality, toxicity, urls, vectors, warc
 from modelloom.llm.common import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_vectors")
+def vectors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "vectors") as work:
+        return work.result(vectors.near_vectors(spark, table(spark, sf_dir, "embeddings"), work))
+
+
 @query("op8_language")
 def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
