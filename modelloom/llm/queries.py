@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelloom.llm import bpe, language, packing, quality, toxicity, urls, vectors, warc
+from modelloom.llm import bpe, jaccard, language, packing, quality, toxicity, urls, vectors, warc
 from modelloom.llm.common import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,9 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         definition = file.read()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, definition, public_tokenizers.PATTERN)
+
+
+@query("op10_jaccard")
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "jaccard") as work:
+        return work.result(jaccard.similar_documents(spark, table(spark, sf_dir, "documents"), work))
