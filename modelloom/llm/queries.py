@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelloom.llm import bpe, jaccard, language, packing, quality, toxicity, urls, vectors, warc
+from modelloom.llm import bpe, jaccard, language, packing, quality, repeats, toxicity, urls, vectors, warc
 from modelloom.llm.common import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,14 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ))
 
 
+@query("op2_repeats")
+def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with Workspace(spark, "repeats") as work:
+        found = repeats.repeated_passages(spark, docs, work)
+        return work.result(found.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 @query("op3_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
