@@ -196,12 +196,13 @@ def _cut(found: DataFrame, size: int, work: Workspace) -> tuple[DataFrame, DataF
 
 
 def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text: str = "text", length: int = 400) -> DataFrame:
-    """(uid, row, n_bytes, sha256, n_removed, n_spans, kept_sha256, kept) for each row of ``df``.
+    """(uid, row, n_bytes, sha256, n_removed, n_spans, kept_sha256, kept, kept_text) per row of ``df``.
 
     ``row`` holds the other columns of ``df``. A byte of a text (as UTF-8; null is empty) is
     removed if a string of ``length`` bytes that covers it starts anywhere else, too, in any
     row; strings do not cross rows and are judged on the input. ``kept`` are the remaining
-    bytes; a removed passage may begin or end within a character.
+    bytes; a removed passage may begin or end within a character, of which ``kept_text`` leaves out
+    what remains.
     Repeated rows are copies of one another like any others. Names of anchors and blocks are
     hashes that can only leave more to test; what decides is a 128-bit hash of whole strings.
     """
@@ -276,15 +277,17 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
                 pa.array([hashlib.sha256(o[0]).hexdigest() for o in out], pa.string()), pa.array([o[0] for o in out], pa.binary()),
-            ], names=["uid", "n_removed", "n_spans", "kept_sha256", "kept"])
+                pa.array([o[0].decode(errors="ignore") for o in out], pa.string()),
+            ], names=["uid", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"])
 
     cut = held.select("uid", "data").join(spans, "uid").mapInArrow(
-        remove, "uid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+        remove, "uid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, kept_text string"
     )
     cut = work.keep(cut, "cut")
     work.release()
     zero = F.lit(0).cast("bigint")
-    return texts.select("uid", "row", "n_bytes", "sha256", F.col("data")).join(cut, "uid", "left").select(
+    return texts.select("uid", "row", "n_bytes", "sha256", "data").join(cut, "uid", "left").select(
         "uid", "row", "n_bytes", "sha256", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), F.coalesce("kept", "data").alias("kept"),
+        F.coalesce("kept_text", F.col("data").cast("string")).alias("kept_text"),
     )
