@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,7 +40,7 @@ class Workspace:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
@@ -67,6 +69,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def worker_state(token: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, once per Python worker process; later tasks of the same use share it."""
+    home = sys.modules.setdefault("_modelloom_llm_worker", types.ModuleType("_modelloom_llm_worker"))
+    states = home.__dict__.setdefault("states", {})
+    if token not in states:
+        states[token] = make()
+    return states[token]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or the like of it that no column of ``df`` has, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

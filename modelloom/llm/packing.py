@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from modelloom.llm.bpe import encoder
+from modelloom.llm.bpe import shared_encoder
 from modelloom.llm.common import column_values, free_name, with_arrays
 
 
@@ -111,7 +111,7 @@ def pack(
         return with_arrays(table, keep, added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(definition, pattern)
+        encode = shared_encoder(definition, pattern)
         first = TaskContext.get().partitionId() << 40
         end = np.asarray([end_id], "<u4").tobytes()
         windows, kept, rest = 0, [], [[], [], [], []]
