@@ -65,6 +65,33 @@ def lone_starts(at: np.ndarray, n: int, length: int) -> list[tuple[int, int]]:
     return list(zip(first[some].tolist(), last[some].tolist()))
 
 
+def own_repeats(data: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(known, rest): of ranges of starts, those that repeat within the same bytes at a fixed distance,
+    and those still to be compared with others.
+
+    Strings without an anchor are mostly of a short period, such as a word said a thousand
+    times. Of such a run one period stays in ``rest`` to stand for it, and the rest is known.
+    """
+    known, rest = [], []
+    view = np.frombuffer(data, np.uint8)
+    for first, last in ranges:
+        while first <= last:
+            period = data.find(data[first:first + length], first + 1) - first
+            if period <= 0:
+                # the next start that could repeat nearby is found by doubling steps through the range
+                step = min(last - first + 1, 32)
+                rest.append((first, first + step - 1))
+                first += step
+                continue
+            same = view[first:len(data) - period] == view[first + period:]
+            end = len(same) if same.all() else int(np.argmin(same))
+            known.append((first, first + end - length))
+            known.append((first + period, first + period + end - length))
+            rest.append((first, min(last, first + period - 1)))
+            first = max(first + period, first + end - length + 1)
+    return known, rest
+
+
 def blocks(data: bytes, at: np.ndarray, length: int) -> tuple[list, list]:
     """Per anchor, the name of the block to the next one (None if no string needs it), and how many
     blocks the strings that begin with it hold at least (-1 if none begins with it)."""
@@ -102,14 +129,14 @@ def _prepared(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         found = []
         for data in texts:
             at = anchors(data, length)
-            found.append((at, *blocks(data, at, length), lone_starts(at, len(data), length)))
+            found.append((at, *blocks(data, at, length), *own_repeats(data, lone_starts(at, len(data), length), length)))
         spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array(texts, pa.binary()), pa.array([len(t) for t in texts], pa.int64()),
             pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.array([f[0] for f in found], pa.list_(pa.int64())),
             pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.list_(pa.int32())),
-            pa.array([[{"first": a, "last": b} for a, b in f[3]] for f in found], spans),
-        ], names=["uid", "row", "data", "n_bytes", "sha256", "anchors", "blocks", "needs", "lone"])
+            *(pa.array([[{"first": a, "last": b} for a, b in f[i]] for f in found], spans) for i in (3, 4)),
+        ], names=["uid", "row", "data", "n_bytes", "sha256", "anchors", "blocks", "needs", "known", "lone"])
 
 
 def _emit(rows: list[tuple]) -> pa.RecordBatch:
@@ -215,17 +242,18 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
         *source.schema.fields[:2],
         *StructType.fromDDL(
             "data binary, n_bytes bigint, sha256 string, anchors array<bigint>, blocks array<bigint>, needs array<int>, "
-            "lone array<struct<first: bigint, last: bigint>>"
+            "known array<struct<first: bigint, last: bigint>>, lone array<struct<first: bigint, last: bigint>>"
         ),
     ])
     # written once: the row numbers hold from here on
     texts = work.keep(source.mapInArrow(lambda it: _prepared(length, it), schema), "texts")
     left = work.keep(_doubled(spark, texts, work).groupBy("uid").agg(F.collect_list("t").alias("ts")), "left")
+    work.drop(*(f"rank{1 << i}" for i in range(20)))
     work.release()
 
     # the texts that may hold repeated passages, with the starts to test
-    held = texts.select("uid", "data", "n_bytes", "anchors", "lone").join(left, "uid", "left").where("ts is not null or size(lone) > 0")
-    held = work.keep(held, "held")
+    held = texts.select("uid", "data", "n_bytes", "anchors", "lone", "known").join(left, "uid", "left").where("ts is not null or size(lone) > 0 or size(known) > 0")
+    held = work.keep(held.drop("known"), "held")
     work.release()
 
     def first_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,11 +277,12 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
     tested = held.select("uid", "data", "n_bytes", "anchors", "ts").where("ts is not null").mapInArrow(
         first_items, f"uid bigint, data binary, items {item}"
     )
-    repeated = None
+    repeated = texts.select("uid", F.explode("known").alias("k")).select("uid", "k.first", "k.last")
     for size in RANGES[:-1]:
         found = work.keep(tested.mapInArrow(lambda it, size=size: _ranges(length, size, it), ROW), f"found{size}")
         full, items = _cut(found, size, work)
-        repeated = full if repeated is None else repeated.unionByName(full)
+        work.drop(f"found{size}")
+        repeated = repeated.unionByName(full)
         if RANGES[-2] == size:  # strings without an anchor are tested start by start
             lone = held.select("uid", F.explode("lone").alias("l")).select(
                 "uid", F.col("l.first").alias("first"), F.col("l.first").alias("low"), F.col("l.last").alias("high"),
@@ -265,7 +294,9 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
         work.release()
     found = work.keep(tested.mapInArrow(lambda it: _ranges(length, 1, it), ROW), "found1").select("uid", "first", "core", "hull")
     twice = found.groupBy("core", "hull").agg(F.count("*").alias("n")).where("n > 1").select("core", "hull")
-    single = found.join(twice, ["core", "hull"]).select("uid", "first", F.col("first").alias("last"))
+    single = work.keep(found.join(twice, ["core", "hull"]).select("uid", "first", F.col("first").alias("last")), "single")
+    work.drop("found1")
+    work.release()
     spans = repeated.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
