@@ -280,6 +280,7 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
     repeated = texts.select("uid", F.explode("known").alias("k")).select("uid", "k.first", "k.last")
     for size in RANGES[:-1]:
         found = work.keep(tested.mapInArrow(lambda it, size=size: _ranges(length, size, it), ROW), f"found{size}")
+        work.release()
         full, items = _cut(found, size, work)
         work.drop(f"found{size}")
         repeated = repeated.unionByName(full)
@@ -292,9 +293,11 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
         grouped = items.groupBy("uid").agg(F.collect_list(F.struct("first", "low", "high", "size")).alias("items"))
         tested = held.select("uid", "data").join(grouped, "uid")
         work.release()
-    found = work.keep(tested.mapInArrow(lambda it: _ranges(length, 1, it), ROW), "found1").select("uid", "first", "core", "hull")
-    twice = found.groupBy("core", "hull").agg(F.count("*").alias("n")).where("n > 1").select("core", "hull")
-    single = work.keep(found.join(twice, ["core", "hull"]).select("uid", "first", F.col("first").alias("last")), "single")
+    # of single starts the two strings are one
+    found = work.keep(tested.mapInArrow(lambda it: _ranges(length, 1, it), ROW).select("uid", "first", "hull"), "found1")
+    work.release()
+    twice = found.groupBy("hull").agg(F.count("*").alias("n")).where("n > 1").select("hull")
+    single = work.keep(found.join(twice, "hull").select("uid", "first", F.col("first").alias("last")), "single")
     work.drop("found1")
     work.release()
     spans = repeated.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
