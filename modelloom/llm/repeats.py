@@ -251,10 +251,15 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
     work.drop(*(f"rank{1 << i}" for i in range(20)))
     work.release()
 
-    # the texts that may hold repeated passages, with the starts to test
-    held = texts.select("uid", "data", "n_bytes", "anchors", "lone", "known").join(left, "uid", "left").where("ts is not null or size(lone) > 0 or size(known) > 0")
-    held = work.keep(held.drop("known"), "held")
+    # apart: the texts that may hold repeated passages, with the starts to test
+    some = F.col("ts").isNotNull() | (F.size("lone") > 0) | (F.size("known") > 0)
+    marked = texts.join(left, "uid", "left").select(
+        "uid", "row", "n_bytes", "sha256", "data", F.when(some, F.col("anchors")).alias("anchors"), "known", "lone", "ts", some.alias("held")
+    )
+    marked = work.keep(marked, "marked", by="held")
+    work.drop("texts", "left")
     work.release()
+    held = marked.where("held")
 
     def first_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "low", "high", "size")]))
@@ -277,7 +282,7 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
     tested = held.select("uid", "data", "n_bytes", "anchors", "ts").where("ts is not null").mapInArrow(
         first_items, f"uid bigint, data binary, items {item}"
     )
-    repeated = texts.select("uid", F.explode("known").alias("k")).select("uid", "k.first", "k.last")
+    repeated = held.select("uid", F.explode("known").alias("k")).select("uid", "k.first", "k.last")
     for size in RANGES[:-1]:
         found = work.keep(tested.mapInArrow(lambda it, size=size: _ranges(length, size, it), ROW), f"found{size}")
         work.release()
@@ -320,8 +325,14 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
     cut = work.keep(cut, "cut")
     work.release()
     zero = F.lit(0).cast("bigint")
-    return texts.select("uid", "row", "n_bytes", "sha256", "data").join(cut, "uid", "left").select(
-        "uid", "row", "n_bytes", "sha256", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
+    columns = ["uid", "row", "n_bytes", "sha256", "data"]
+    final = held.select(*columns).join(cut, "uid", "left").select(
+        *columns[:4], F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), F.coalesce("kept", "data").alias("kept"),
         F.coalesce("kept_text", F.col("data").cast("string")).alias("kept_text"),
     )
+    rest = marked.where("not held").select(
+        *columns[:4], zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha256").alias("kept_sha256"), F.col("data").alias("kept"),
+        F.col("data").cast("string").alias("kept_text"),
+    )
+    return final.unionByName(rest)
