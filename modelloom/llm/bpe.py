@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 
 from modelloom.llm.common import add_columns, worker_state
 
-#: How many distinct matches a task remembers before it starts anew (about 200 bytes each).
-MEMO = 1_000_000
+#: How many distinct matches a worker remembers (about 200 bytes each); frequent ones come early.
+MEMO = 500_000
 #: Below this character all agree on what is a letter, a number or a space; texts with later
 #: characters are split by the library itself.
 SAME_CLASSES_BELOW = 0x530
@@ -112,8 +112,11 @@ class _Memo(dict):
 
     def __init__(self):
         self.missing: list[str] = []
+        self.passing: dict[str, bytes] = {}  # those of the texts at hand that found no room
 
     def __missing__(self, piece: str) -> bytes:
+        if piece in self.passing:
+            return self.passing[piece]
         self.missing.append(piece)
         return b""
 
@@ -140,8 +143,7 @@ def encoder(definition: str, pattern: str, memo: int = MEMO) -> Callable[[list],
         lookup = known.__getitem__
         for at in range(0, len(texts), 64):  # bounds the matches held at once
             part = [t or "" for t in texts[at:at + 64]]
-            if len(known) > memo:
-                known.clear()
+            known.passing.clear()
             rare = [i for i, t in enumerate(part) if not t.isascii() and unusual(t)]
             whole = dict(zip(rare, packed([part[i] for i in rare])))
             pieces, ids = {}, []
@@ -156,7 +158,10 @@ def encoder(definition: str, pattern: str, memo: int = MEMO) -> Callable[[list],
             if known.missing:
                 new = list(set(known.missing))
                 known.missing.clear()
-                known.update(zip(new, packed(new)))
+                ids_of_new = packed(new)
+                room = max(0, memo - len(known))
+                known.update(zip(new[:room], ids_of_new))
+                known.passing.update(zip(new[room:], ids_of_new[room:]))
                 for i, found in pieces.items():
                     ids[i] = b"".join(map(lookup, found))
             out += ids
