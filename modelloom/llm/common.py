@@ -71,10 +71,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def worker_state(token: str, make: Callable[[], object]) -> object:
-    """What ``make`` gives, once per Python worker process; later tasks of the same use share it."""
+    """What ``make`` gives, once per Python worker process; later tasks of the same use share it.
+
+    A worker holds one such state, that of its present use, so memories of words do not add up.
+    """
     home = sys.modules.setdefault("_modelloom_llm_worker", types.ModuleType("_modelloom_llm_worker"))
     states = home.__dict__.setdefault("states", {})
     if token not in states:
+        states.clear()
         states[token] = make()
     return states[token]
 
@@ -87,6 +91,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def column_values(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
@@ -115,7 +126,7 @@ def add_columns(df: DataFrame, text: str, make: Callable[[], Callable[[list], di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = None
-        for batch in batches:
+        for batch in portions(batches):
             compute = compute or make()
             added = compute(column_values(batch, source))
             yield with_arrays(batch, keep, {n: added[n] for n in names})

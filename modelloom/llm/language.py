@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelloom.llm.common import add_columns
+from modelloom.llm.common import add_columns, worker_state
 
 UNKNOWN = "und"
 
@@ -130,7 +130,7 @@ def fit_language(
     sample = rows.where(drawn).dropDuplicates(["key", "text", "lang"]).select("lang", "text")
 
     def make():
-        letters = letter_table()
+        letters = worker_state("letters", letter_table)
 
         def compute(texts: list) -> dict[str, pa.Array]:
             return {"counts": pa.array([subword_counts(t, letters, buckets).astype("<f4").tobytes() for t in texts], pa.binary())}
@@ -155,7 +155,7 @@ def detect_language(df: DataFrame, model: LanguageModel | None, text: str = "tex
     repeated rows get the same result.
     """
     def make() -> Callable[[list], dict[str, pa.Array]]:
-        letters = letter_table()
+        letters = worker_state("letters", letter_table)
 
         def compute(texts: list) -> dict[str, pa.Array]:
             names, scores, rejected = [], [], []

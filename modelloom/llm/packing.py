@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from modelloom.llm.bpe import shared_encoder
-from modelloom.llm.common import column_values, free_name, with_arrays
+from modelloom.llm.common import column_values, free_name, portions, with_arrays
 
 
 class OpenWindows:
@@ -116,7 +116,7 @@ def pack(
         end = np.asarray([end_id], "<u4").tobytes()
         windows, kept, rest = 0, [], [[], [], [], []]
         left_parts: list[bytes] = []
-        for batch in batches:
+        for batch in portions(batches):
             texts = column_values(batch, source)
             light = with_arrays(batch, keep, {source: pa.nulls(batch.num_rows)})
             of, start, length, crc, total, sequence, parts, left = [], [], [], [], [], [], [], []

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from modelloom.llm.common import Workspace, column_values
+from modelloom.llm.common import Workspace, column_values, portions
 
 #: Bytes that decide whether a position is an anchor.
 GRAM = 16
@@ -124,7 +124,7 @@ def removed(data: bytes, starts: list[tuple[int, int]], length: int) -> tuple[by
 
 
 def _prepared(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches):
         texts = [(t or "").encode("utf-8", "replace") for t in column_values(batch, "text")]
         found = []
         for data in texts:
@@ -154,7 +154,7 @@ def _ranges(length: int, size: int, batches: Iterator[pa.RecordBatch]) -> Iterat
     """
     core_of, hull_of = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
     rows: list[tuple] = []
-    for batch in batches:
+    for batch in portions(batches):
         for uid, data, items in zip(*(column_values(batch, c) for c in ("uid", "data", "items"))):
             n, seen = len(data), set()
             for item in items:
@@ -263,7 +263,7 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
 
     def first_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "low", "high", "size")]))
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             for at, ts, n in zip(*(column_values(batch, c) for c in ("anchors", "ts", "n_bytes"))):
                 at, items = np.asarray(at, np.int64), []
@@ -308,7 +308,7 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
     spans = repeated.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             out = [
                 removed(data, [(s["first"], s["last"]) for s in starts], length)
                 for data, starts in zip(column_values(batch, "data"), column_values(batch, "starts"))

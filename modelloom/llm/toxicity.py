@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelloom.llm.common import Workspace, add_columns, column_values
+from modelloom.llm.common import Workspace, add_columns, column_values, portions
 
 # fixed values: letters of other scripts that look like Latin ones
 LOOK_ALIKES = dict(zip(
@@ -145,7 +145,7 @@ def _counted(rows: DataFrame, make: Callable[[], Callable[[str], set[str]]]) ->
     """(feature, toxic, clean): in how many texts of either label each feature is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, counts = make(), (Counter(), Counter())
-        for batch in batches:
+        for batch in portions(batches):
             for text, toxic in zip(column_values(batch, "text"), column_values(batch, "toxic")):
                 counts[toxic].update(of(folded(text)))
         every = list(counts[0].keys() | counts[1].keys())

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelloom.llm.common import Workspace, column_values
+from modelloom.llm.common import Workspace, column_values, portions
 
 # fixed values: the skippable frame that marks an embedded dictionary, and the revisit profile
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -169,7 +169,7 @@ def write_archives(
             })
 
         records, size = [], 0
-        for batch in batches:
+        for batch in portions(batches, 200):
             columns = [column_values(batch, c) for c in ("key", "url", "payload", "length", "digest", "first")]
             for k, u, p, n, d, first in zip(*columns):
                 records.append(make_record(k, u, p, n, d, first, date))
