@@ -38,7 +38,8 @@ def enrich(
     ``make_client`` runs on the worker and returns a callable from prompt to
     reply text. Only the prompt travels to Python; replies are parsed in the
     JVM. With ``on_error="column"`` a failing call or a reply that is no valid
-    JSON keeps the row, nulls the fields and fills ``error``.
+    JSON keeps the row, nulls the fields and fills ``error``; otherwise it fails
+    the job wherever one of the fields is used, and there is no such column.
     """
     names = StructType.fromDDL(fields).fieldNames()
     question, answer, found = (free_name(df, n) for n in ("_prompt", "_reply", "_fields"))
@@ -59,14 +60,14 @@ def enrich(
     parsed = asked.withColumn(found, json_fields(answer, fields, broken="_corrupt"))
     broken = F.col(f"`{found}`._corrupt").isNotNull()
     text = F.concat(F.lit("reply is not valid JSON: "), F.col(f"`{found}`._corrupt"))
-    if on_error == "column":
-        failed = F.coalesce(F.col(ERROR_COLUMN), F.when(broken, text))
-    else:
-        failed = F.when(broken, F.raise_error(text)).cast("string")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    if on_error != "column":  # any field that is read fails the job
+        return parsed.select(
+            *kept, *[F.when(broken, F.raise_error(text)).otherwise(F.col(f"`{found}`.`{n}`")).alias(n) for n in names]
+        )
     return parsed.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in names],
-        *[F.when(~broken, F.col(f"`{found}`.`{n}`")).alias(n) for n in names],
-        failed.alias(ERROR_COLUMN),
+        *kept, *[F.when(~broken, F.col(f"`{found}`.`{n}`")).alias(n) for n in names],
+        F.coalesce(F.col(ERROR_COLUMN), F.when(broken, text)).alias(ERROR_COLUMN),
     )
 
 

@@ -50,23 +50,24 @@ def _fraction(x: Column) -> Column:
 def monte_carlo_pi(
     df: DataFrame, key: str, n: str, *, chunk: int = 100_000, workers: int | None = None
 ) -> DataFrame:
-    """Estimate pi for every row from ``n`` evenly spread points of its own."""
+    """Estimate pi for every row from ``n`` evenly spread points of its own.
+
+    All columns stay, and rows that repeat a key are computed each for itself.
+    """
+    uid, row = free_name(df, "_uid"), free_name(df, "_row")
     k, seed = F.col("k").cast("double"), F.col(key).cast("double")
     x = _fraction(seed * SEED_X + k * STEP_X)
     y = _fraction(seed * SEED_Y + k * STEP_Y)
-    points = fan_out(df.select(key, n), key, n, chunk=chunk, workers=workers)
+    rows = df.select(
+        F.monotonically_increasing_id().alias(uid), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row), key, n
+    )
+    points = fan_out(rows, uid, n, into="k", chunk=chunk, workers=workers)
+    tried = F.greatest(F.coalesce(F.max(n), F.lit(1)), F.lit(1))
+    kept = [c for c in df.columns if c not in ("pi_estimate", "error")]
     return (
-        points.withColumn("_x", x)
-        .withColumn("_y", y)
-        .groupBy(key)
-        .agg(
-            F.max(n).alias(n),
-            F.count_if(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y") <= 1.0).alias("_inside"),
-        )
-        .withColumn("_tried", F.greatest(F.coalesce(F.col(n), F.lit(1)), F.lit(1)))
+        points.groupBy(uid)
+        .agg(F.any_value(row).alias(row), (4.0 * F.count_if(x * x + y * y <= 1.0) / tried).alias("pi_estimate"))
         .select(
-            key, n,
-            (4.0 * F.col("_inside") / F.col("_tried")).alias("pi_estimate"),
-            F.lit(None).cast("string").alias("error"),
+            *[F.col(row).getField(c).alias(c) for c in kept], "pi_estimate", F.lit(None).cast("string").alias("error")
         )
     )

@@ -17,13 +17,13 @@ def merge(
     right: DataFrame,
     on: str | Sequence[str],
     *,
-    null_safe: bool = True,
+    null_safe: bool = False,
     suffixes: tuple[str, str] = ("_x", "_y"),
 ) -> DataFrame:
     """Inner equi-join with one copy of each key column in the result.
 
-    With ``null_safe`` null keys match each other, otherwise they match
-    nothing, as in SQL. Other columns of the same name get the suffixes. The
+    Null keys match nothing, as in SQL; with ``null_safe`` they match each
+    other, as in a frame library: then all null-key rows of both sides meet. Other columns of the same name get the suffixes. The
     strategy (broadcast, sort-merge, skew splitting) is left to the optimizer.
     """
     keys = [on] if isinstance(on, str) else list(on)

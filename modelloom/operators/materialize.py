@@ -189,8 +189,9 @@ def snapshot(
     """Keep the history of a table: one row per state of a key, open while it lasts.
 
     Rows that changed or vanished get their ``valid_to``, changed and new ones a
-    row with ``valid_from``. ``as_of`` is the time of this run and must be later
-    than that of the last. Keys must be unique in ``df``. Returns the rows
+    row with ``valid_from``. ``as_of`` is the time of this run; unless it is later
+    than that of the last, a ConfigError says so and nothing is written. A key
+    that ``df`` repeats fails the job. Returns the rows
     written: the table is partitioned by ``valid_to`` and a run rewrites only
     the open rows, whatever the length of the history.
     """
@@ -199,8 +200,14 @@ def snapshot(
     reserved = {"valid_from", "valid_to"} & set(df.columns)
     if reserved:
         raise ConfigError(f"snapshot needs the names {sorted(reserved)} for itself")
+    # one row per key, or an error, in the job that uses it
+    once = df.groupBy(F.col(key).alias("_is_key")).agg(
+        F.count("*").alias("_n"), F.any_value(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_is")
+    )
+    twice = F.raise_error(F.concat(F.lit("snapshot: repeated key "), F.coalesce(F.col("_is_key").cast("string"), F.lit("null"))))
+    once = once.select("_is_key", F.when(F.col("_n") > 1, twice).otherwise(F.col("_is")).alias("_is"))
     if kind_of(spark, target) is None:
-        first = df.select("*", as_of.alias("valid_from"))
+        first = once.select("_is.*", as_of.alias("valid_from"))
         still_open = F.lit(None).cast(first.schema["valid_from"].dataType)
         return append_table(
             first.withColumn("valid_to", still_open), target,
@@ -214,11 +221,17 @@ def snapshot(
     if set(columns) != set(df.columns):
         raise ResultError(f"columns differ from those of the history {target.dotted()}")
 
+    # the newest times are those of the open rows and of the last closed partition
+    starts = history.where(F.col("valid_to").isNull()).agg(F.max("valid_from").alias("at"))
+    latest = starts.unionAll(history.agg(F.max("valid_to"))).agg(F.max("at").alias("latest")).select("latest", now.alias("now")).first()
+    if latest["now"] is None or (latest["latest"] is not None and latest["now"] <= latest["latest"]):
+        raise ConfigError(f"as_of {latest['now']} is not later than {latest['latest']}, the last of {target.dotted()}")
+
     state = F.struct(*[F.col(f"`{c}`") for c in columns])
     was = history.where(F.col("valid_to").isNull()).select(
         F.col(key).alias("_was_key"), state.alias("_was"), "valid_from"
     )
-    now_is = df.select(F.col(key).alias("_is_key"), state.alias("_is"))
+    now_is = once.select("_is_key", F.struct(*[F.col("_is").getField(c).alias(c) for c in columns]).alias("_is"))
     both = was.join(now_is, F.col("_was_key").eqNullSafe(F.col("_is_key")), "full_outer")
 
     same = F.col("_was").eqNullSafe(F.col("_is"))

@@ -9,6 +9,7 @@ second try of a failed batch), so calls with side effects must be idempotent.
 from __future__ import annotations
 
 import sys
+import time
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -34,6 +35,8 @@ from modelloom.errors import ConfigError, ResultError
 from modelloom.functions import free_name
 from modelloom.shared import is_local
 
+#: A worker drops the state of a map that no task has used for so many seconds.
+IDLE_S = 900
 MODES = ("row", "list", "batch", "partition")
 BUNDLE_ROWS, BUNDLE_BYTES = 10_000, 64 << 20  # converted between Arrow and Python at a time
 _MISFITS = (pa.ArrowException, TypeError, ValueError, OverflowError)
@@ -197,10 +200,14 @@ def _worker_state(token: str, setup: Callable[[], Any]) -> Any:
     """``setup()`` once per worker process; its later tasks of this map reuse the state."""
     home = sys.modules.setdefault("_modelloom_worker", types.ModuleType("_modelloom_worker"))
     states: dict[str, Any] = home.__dict__.setdefault("states", {})
+    used: dict[str, float] = home.__dict__.setdefault("used", {})
+    now = time.monotonic()
     if token not in states:
-        while len(states) >= 4:  # states of earlier maps
-            states.pop(next(iter(states)))
+        for old in [t for t, at in used.items() if now - at > IDLE_S]:  # states of maps that have ended
+            states.pop(old, None)
+            used.pop(old)
         states[token] = setup()
+    used[token] = now
     return states[token]
 
 
@@ -367,7 +374,7 @@ def _list_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
 
 def _frame_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
     def unpack(table: pa.Table) -> pd.DataFrame:
-        return table.to_pandas(use_threads=False)
+        return _to_frame(table)
 
     def cut(frame: pd.DataFrame, start: int, stop: int) -> pd.DataFrame:
         return frame.iloc[start:stop].reset_index(drop=True)
@@ -409,11 +416,21 @@ def _chunk_task(
     return task
 
 
+# whole numbers stay whole beside nulls, in every batch alike
+_WHOLE = {
+    pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype(),
+}
+
+
+def _to_frame(table: pa.Table) -> pd.DataFrame:
+    return table.to_pandas(use_threads=False, types_mapper=_WHOLE.get)
+
+
 def _stream_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for table in _bundles(batches, size):
             for start in range(0, table.num_rows, size or max(table.num_rows, 1)):
-                yield table.slice(start, size).to_pandas(use_threads=False)
+                yield _to_frame(table.slice(start, size))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for call, todo in _started(batches, bind):

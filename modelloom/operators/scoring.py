@@ -7,6 +7,8 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -96,16 +98,11 @@ def score_batches(
 def logistic(
     df: DataFrame, weights: dict[str, float], bias: float, *, out: str = "score"
 ) -> DataFrame:
-    """Logistic regression with given weights, six decimals."""
-    features = list(weights)
-    model = df.sparkSession.sparkContext.broadcast((np.array([weights[f] for f in features]), bias))
-
-    def predict(frame: pd.DataFrame, fitted: tuple[np.ndarray, float]) -> np.ndarray:
-        w, b = fitted
-        return 1.0 / (1.0 + np.exp(-(frame[features].to_numpy(dtype=float) @ w + b)))
-
-    scored = score_batches(df, features, lambda: model.value, predict, f"`{out}` double")
-    return scored.withColumn(out, F.round(out, 6))
+    """Logistic regression with given weights, six decimals; a null feature gives a null score."""
+    total = F.lit(float(bias))
+    for name, weight in weights.items():
+        total = total + F.col(f"`{name}`").cast("double") * float(weight)
+    return df.withColumn(out, F.round(1.0 / (1.0 + F.exp(-total)), 6))
 
 
 def fit_centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
@@ -137,83 +134,82 @@ def nearest_centroid(
     *,
     label: str = "label",
     out: tuple[str, str] = ("nearest", "similarity"),
-    broadcast_limit: int = 64 << 20,
-    block: int = 256,
+    block: int = 4096,
 ) -> DataFrame:
     """The centroid of highest cosine (six decimals; ties to the smaller label).
 
-    Centroids up to ``broadcast_limit`` bytes go to every worker as one matrix.
-    Above it they are cut into blocks, every row meets every block through a
-    join on the block number, and only the best of each block is kept.
+    The centroids are written to the shared folder at unit length. Rows stay
+    where they are: every task streams over the written blocks of ``block``
+    centroids and keeps the best so far for its batch of rows. Rows are
+    independent, whatever their ``key``. A vector that is null, zero, not finite
+    or of another length than all centroids gets a null label and similarity; so
+    does every row if there are no centroids.
     """
     name, similarity = out
-    count, width = centroids.agg(
-        F.count("*"), F.coalesce(F.max(F.size("centroid")), F.lit(0))
-    ).first()
-    if count * width * 8 <= broadcast_limit:
-        return _nearest_in_matrix(df, vector, centroids, label, out)
-
-    # every block holds about `block` centroids of unit length
-    blocks = -(-count // block)
-    unit = _unit(F.col("centroid"))
-    packed = (
-        centroids.select(
-            F.pmod(F.xxhash64(label), F.lit(blocks)).alias("_block"),
-            F.struct(unit.alias("unit"), F.col(label).alias("label")).alias("_c"),
-        )
-        .groupBy("_block")
-        .agg(F.collect_list("_c").alias("_centroids"))
-    )
-    # the work of a block is spread over sub-groups of rows
-    spread = max(1, -(-df.sparkSession.sparkContext.defaultParallelism // blocks))
-    packed = packed.withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    )
-    rows = df.select(
-        key,
-        _unit(F.col(vector)).alias("_unit"),
-        F.pmod(F.xxhash64(key), F.lit(spread)).cast("int").alias("_part"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("_block"),
-    )
-    best = F.array_min(
-        F.transform(
-            "_centroids",
-            lambda c: F.struct(
-                (-F.round(_dot(F.col("_unit"), c["unit"]), 6)).alias("minus"),
-                c["label"].alias("label"),
-            ),
-        )
-    )
-    found = (
-        rows.join(packed, ["_block", "_part"])
-        .select(key, best.alias("_best"))
-        .groupBy(key)
-        .agg(F.min("_best").alias("_best"))
-        .select(key, F.col("_best.label").alias(name), (-F.col("_best.minus")).alias(similarity))
+    spark = df.sparkSession
+    folder = scratch_path(spark, "units")
+    centroids.select(F.col(label).alias("label"), _unit(F.col("centroid")).alias("unit")).where(
+        F.col("label").isNotNull() & F.col("unit").isNotNull()
+    ).write.parquet(folder)
+    label_type = centroids.schema[label].dataType.simpleString()
+
+    def blocks() -> Iterator[tuple[np.ndarray, list]]:
+        place, base = _file_system(folder)
+        for info in sorted(place.get_file_info(fs.FileSelector(base)), key=lambda i: i.path):
+            if info.path.endswith(".parquet"):
+                with place.open_input_file(info.path) as file:
+                    for batch in pq.ParquetFile(file).iter_batches(block):
+                        by_length: dict[int, list] = {}
+                        for name, unit in zip(*(c.to_pylist() for c in batch.columns)):
+                            if unit and None not in unit:
+                                by_length.setdefault(len(unit), []).append((name, unit))
+                        for pairs in by_length.values():
+                            pairs.sort(key=lambda p: p[0])
+                            units = np.array([p[1] for p in pairs], dtype=float)
+                            if np.isfinite(units).all(axis=1).any():
+                                yield np.nan_to_num(units, nan=-np.inf), [p[0] for p in pairs]
+
+    def nearest(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for vectors in parts:
+            units = [_unit_vector(v) for v in vectors]
+            lengths = np.array([-1 if u is None else len(u) for u in units])
+            best, found = np.full(len(units), -np.inf), np.full(len(units), None, dtype=object)
+            stacked = {n: np.stack([u for u in units if u is not None and len(u) == n]) for n in set(lengths) - {-1}}
+            for matrix, labels in blocks() if stacked else ():
+                rows = np.flatnonzero(lengths == matrix.shape[1])
+                if not len(rows):
+                    continue
+                with np.errstate(invalid="ignore"):
+                    cosine = np.round(stacked[matrix.shape[1]] @ matrix.T, 6)
+                cosine[~np.isfinite(cosine)] = -np.inf
+                top = cosine.argmax(axis=1)  # the first of equals, hence the smaller label
+                value = cosine[np.arange(len(rows)), top]
+                for i, v, t in zip(rows, value, top):
+                    if v > best[i] or (v == best[i] and found[i] is not None and labels[t] < found[i]):
+                        best[i], found[i] = v, labels[t]
+            yield pd.DataFrame({
+                name: found, similarity: [None if f is None else float(b) for b, f in zip(best, found)],
+            })
+
+    udf = F.pandas_udf(nearest, f"`{name}` {label_type}, `{similarity}` double").asNondeterministic()
+    slot = free_name(df, "_nearest")
+    return df.withColumn(slot, udf(F.col(f"`{vector}`"))).select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in out],
+        *[F.col(f"`{slot}`.`{n}`").alias(n) for n in out],
     )
-    return df.join(found, key, "left")
 
 
-def _nearest_in_matrix(
-    df: DataFrame, vector: str, centroids: DataFrame, label: str, out: tuple[str, str]
-) -> DataFrame:
-    name, similarity = out
-    label_type = centroids.schema[label].dataType.simpleString()
-    fitted = centroids.orderBy(label).toPandas()  # size checked by the caller
-    matrix = np.stack(fitted["centroid"].to_list()) if len(fitted) else np.zeros((0, 0))
-    matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-    model = df.sparkSession.sparkContext.broadcast((matrix, fitted[label].to_numpy()))
-
-    def predict(frame: pd.DataFrame, fitted: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
-        units, labels = fitted
-        rows = np.stack(frame[vector].to_list()).astype(float)
-        cosine = np.round(rows / np.linalg.norm(rows, axis=1, keepdims=True) @ units.T, 6)
-        best = cosine.argmax(axis=1)  # the first of equals, hence the smaller label
-        return pd.DataFrame({name: labels[best], similarity: cosine[np.arange(len(best)), best]})
-
-    return score_batches(
-        df, [vector], lambda: model.value, predict, f"`{name}` {label_type}, `{similarity}` double"
-    )
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path in the shared folder, and the path there."""
+    return fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
+
+
+def _unit_vector(values: np.ndarray | None) -> np.ndarray | None:
+    if values is None or not len(values):
+        return None
+    vector = np.asarray(values, dtype=float)  # a null component becomes NaN
+    length = np.linalg.norm(vector)
+    return vector / length if np.isfinite(length) and length > 0 else None
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -223,4 +219,4 @@ def _dot(a: Column, b: Column) -> Column:
 
 def _unit(v: Column) -> Column:
     length = F.sqrt(_dot(v, v))
-    return F.transform(v, lambda x: x.cast("double") / length)
+    return F.when(length > 0, F.transform(v, lambda x: x.cast("double") / length))

@@ -347,7 +347,7 @@ def join_merge_inner(spark, sf_dir):
 
     customers = by_zone("customer", "c_nationkey", "c_acctbal", "customers")
     suppliers = by_zone("supplier", "s_nationkey", "s_acctbal", "suppliers")
-    return merge(customers, suppliers, "zone")
+    return merge(customers, suppliers, "zone", null_safe=True)
 
 
 # --- SQL texts ----------------------------------------------------------------------

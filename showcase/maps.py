@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from modelloom.functions import bucketize, empty_like, flag
@@ -189,19 +191,25 @@ CHURN_SQL = """
     from customer left join a on c_custkey = o_custkey"""
 
 
-def customer_activity(spark, sf_dir):
+def activity(customers, orders):
     return order_activity(
-        read(spark, sf_dir, "customer").select("c_custkey"), read(spark, sf_dir, "orders"),
+        customers.select("c_custkey"), orders,
         customer_key="c_custkey", order_customer="o_custkey",
         order_date="o_orderdate", order_amount="o_totalprice",
     ).withColumn("total_spend", F.round("total_spend", 2))
 
 
-def score_customer(row):
-    """The same score as a Python row function."""
-    lapsed = 1 - math.exp(-(row["days_since_last_order"] or CHURN_DEFAULT_RECENCY) / CHURN_RECENCY_SCALE)
-    casual = CHURN_ORDER_WEIGHT * math.exp(-(row["order_count"] or 0) / CHURN_ORDER_SCALE)
-    return {"churn_score": round(min(lapsed + casual, 1.0), 4)}
+def customer_activity(spark, sf_dir):
+    return activity(read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders"))
+
+
+def churn_frame(frame):
+    """The score over a frame at once; the constants are those of the column expression."""
+    days = frame["days_since_last_order"].astype("float64").fillna(0.0)
+    orders = frame["order_count"].astype("float64").fillna(0.0)
+    recency = np.exp(days.mask(days == 0, CHURN_DEFAULT_RECENCY) / -CHURN_RECENCY_SCALE)
+    total = (1.0 + CHURN_ORDER_WEIGHT * np.exp(orders / -CHURN_ORDER_SCALE) - recency).clip(upper=1.0)
+    return frame.assign(churn_score=total.round(4))
 
 
 @query("score_churn", CHURN_SQL)
@@ -213,8 +221,7 @@ def score_churn(spark, sf_dir):
 @query("score_churn_rows", CHURN_SQL)
 def score_churn_rows(spark, sf_dir):
     return parallel_map(
-        customer_activity(spark, sf_dir), score_customer, adds="churn_score double",
-        input_cols=["days_since_last_order", "order_count"],
+        customer_activity(spark, sf_dir), churn_frame, adds="churn_score double", mode="batch", batch_size=10_000,
     )
 
 

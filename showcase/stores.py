@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from modelloom.functions import bucketize, cents_rounded, cents_truncated, fill_template, flag
 from modelloom.operators import (
+    churn_score,
     append_table,
     create_view,
     drop,
@@ -27,9 +28,8 @@ from showcase.maps import (
     FANOUT_SQL,
     TICKETS_SQL,
     classified,
-    customer_activity,
+    activity,
     sample_counts,
-    score_customer,
     ticket_columns,
 )
 from showcase.registry import path, query, read
@@ -237,9 +237,10 @@ def _basic_project(spark, sf_dir):
             "greeting": fill_template("Hello, {}!", "customer_name"),
         })
 
+    # fixed values: the columns of this summary and their order
     project.sql_model("order_summary", """
-        select count(*) as row_count, count_if(is_large) as large_order_count,
-            sum(amount_cents) as total_amount_cents, round(sum(amount), 2) as total_amount
+        select round(sum(amount), 2) as total_amount, sum(amount_cents) as total_amount_cents,
+            count_if(is_large) as large_order_count, count(*) as row_count
         from {{ ref('enriched_orders') }}""", materialized="table",
         tests={"total_amount": ["not_null"], "row_count": ["not_null"]})
     return project
@@ -290,9 +291,10 @@ def project_quickstart(spark, sf_dir):
             "is_home": flag(F.col("country") == "NATION_0"),
         })
 
+    # fixed values: the columns of this summary and their order
     project.sql_model("order_summary", """
-        select amount_bucket, country, round(sum(amount), 2) as total_amount, count(*) as order_count
-        from {{ ref('enriched_orders') }} group by all""", materialized="table")
+        select country, amount_bucket, count(*) as order_count, round(sum(amount), 2) as total_amount
+        from {{ ref('enriched_orders') }} group by country, amount_bucket""", materialized="table")
     project.run(spark)
     return read_relation(spark, project.relation("order_summary")).orderBy("country", "amount_bucket")
 
@@ -301,16 +303,17 @@ def project_quickstart(spark, sf_dir):
 def project_scoring(spark, sf_dir):
     project = Project(scratch_schema(spark))
 
-    @project.model()
+    for table in ("customer", "orders"):
+        project.source("raw", table, path=path(sf_dir, table))
+
+    @project.model(sources=[("raw", "customer"), ("raw", "orders")])
     def stg_customers(ctx, spark):
-        return customer_activity(spark, sf_dir)
+        return activity(ctx.source("raw", "customer"), ctx.source("raw", "orders"))
 
     @project.model(refs=["stg_customers"])
     def scored_customers(ctx, spark):
-        return ctx.parallel_map(
-            ctx.ref("stg_customers"), score_customer, adds="churn_score double",
-            input_cols=["days_since_last_order", "order_count"],
-        )
+        scored = churn_score("days_since_last_order", "order_count")
+        return ctx.ref("stg_customers").withColumn("churn_score", scored)
 
     project.run(spark)
     return read_relation(spark, project.relation("scored_customers"))

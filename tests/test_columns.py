@@ -97,10 +97,10 @@ def test_as_text_and_empty(spark):
 def test_merge_nulls_and_suffixes(spark, rows):
     left = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "id int, v string")
     right = spark.createDataFrame([(1, "x"), (None, "y"), (4, "z")], "id int, v string")
-    merged = merge(left, right, "id")
+    merged = merge(left, right, "id", null_safe=True)
     assert merged.columns == ["id", "v_x", "v_y"]
     assert rows(merged) == [(1, "a", "x"), (None, "b", "y")]
-    assert rows(merge(left, right, "id", null_safe=False)) == [(1, "a", "x")]
+    assert rows(merge(left, right, "id")) == [(1, "a", "x")]
     with pytest.raises(ConfigError):
         merge(left, right, "nope")
 

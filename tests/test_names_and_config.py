@@ -11,13 +11,9 @@ from modelloom.sources import RelationName, Source, read_relation
 
 
 @pytest.mark.parametrize("text, parts", [
-    ('"shop"."core"."sales"', ("shop", "core", "sales")),
-    ("shop.core.sales", ("shop", "core", "sales")),
-    ('"shop".core."sales"', ("shop", "core", "sales")),
-    ("`my-shop`.`core`.`table`", ("my-shop", "core", "table")),
-    ("core.sales", ("core", "sales")),
-    ("sales", ("sales",)),
     (' "a.b" . c ', ("a.b", "c")),
+    ('x . "y z" . `w.w`', ("x", "y z", "w.w")),
+    ('"select"', ("select",)),
     ('"say ""hi"""', ('say "hi"',)),
     ("`tick``ed`", ("tick`ed",)),
     ("my-shop.t", ("my-shop", "t")),
@@ -64,12 +60,11 @@ def test_model_is_stored_under_alias_or_name():
 def test_config_defaults_and_overrides():
     base = ModelConfig()
     assert (base.materialized, base.workers, base.cpus_per_worker, base.timeout_s) == ("table", None, 1, None)
-    mine = ModelConfig(workers=32, cpus_per_worker=2, ram_per_worker=8, timeout_s=120)
-    assert mine.override(None) == mine
-    assert mine.override({}) == mine
-    changed = mine.override({"workers": "128", "cpus_per_worker": "4", "timeout_s": "60"})
-    assert (changed.workers, changed.cpus_per_worker, changed.ram_per_worker, changed.timeout_s) == (128, 4, 8, 60.0)
-    assert mine.override({"workers": None}).workers is None
+    mine = ModelConfig(workers=7, timeout_s=0.5)
+    assert mine.override({}) == mine == mine.override(None)
+    changed = mine.override({"workers": " 9 ".strip(), "ram_per_worker": 3})
+    assert (changed.workers, changed.ram_per_worker, changed.timeout_s) == (9, 3, 0.5)
+    assert changed.override({"timeout_s": None, "workers": None}) == ModelConfig(ram_per_worker=3)
 
 
 @pytest.mark.parametrize("settings", [
