@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from modelloom.llm.common import add_columns, worker_state
 
 #: How many distinct matches a worker remembers (about 200 bytes each); frequent ones come early.
-MEMO = 400_000
+MEMO = 300_000
 #: Below this character all agree on what is a letter, a number or a space; texts with later
 #: characters are split by the library itself.
 SAME_CLASSES_BELOW = 0x530

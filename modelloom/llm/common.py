@@ -96,6 +96,7 @@ def portions(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # idle workers keep no buffers
 
 
 def column_values(batch: pa.RecordBatch, name: str) -> list:

@@ -278,13 +278,11 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
                 [batch.column(batch.schema.get_field_index(c)) for c in ("uid", "data")] + [pa.array(out, kind)], names=["uid", "data", "items"]
             )
 
-    item = "array<struct<first: bigint, low: bigint, high: bigint, size: bigint>>"
-    tested = held.select("uid", "data", "n_bytes", "anchors", "ts").where("ts is not null").mapInArrow(
-        first_items, f"uid bigint, data binary, items {item}"
-    )
+    # cut into items and tested in one function, so that a task needs one Python worker
+    tested, items_first = held.select("uid", "data", "n_bytes", "anchors", "ts").where("ts is not null"), first_items
     repeated = held.select("uid", F.explode("known").alias("k")).select("uid", "k.first", "k.last")
     for size in RANGES[:-1]:
-        found = work.keep(tested.mapInArrow(lambda it, size=size: _ranges(length, size, it), ROW), f"found{size}")
+        found = work.keep(tested.mapInArrow(lambda it, size=size, f=items_first: _ranges(length, size, f(it)), ROW), f"found{size}")
         work.release()
         full, items = _cut(found, size, work)
         work.drop(f"found{size}")
@@ -296,7 +294,7 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
             )
             items = items.unionByName(lone)
         grouped = items.groupBy("uid").agg(F.collect_list(F.struct("first", "low", "high", "size")).alias("items"))
-        tested = held.select("uid", "data").join(grouped, "uid")
+        tested, items_first = held.select("uid", "data").join(grouped, "uid"), portions
         work.release()
     # of single starts the two strings are one
     found = work.keep(tested.mapInArrow(lambda it: _ranges(length, 1, it), ROW).select("uid", "first", "hull"), "found1")
