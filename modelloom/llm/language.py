@@ -8,6 +8,7 @@ a trained model is one table of a score per bucket and language.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -79,7 +80,8 @@ def train(
     their true language, and 0.5 at most, so that ordinary texts are kept.
     """
     random = np.random.default_rng(seed)
-    x = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    x = np.asarray(counts, np.float32)
+    x = np.divide(x, np.maximum(x.sum(axis=1, keepdims=True), 1), out=x if x.flags.writeable else None)
     order = random.permutation(len(x))
     back, used = (order[::5], order[np.arange(len(order)) % 5 != 0]) if len(x) >= 10 else (order, order)
     buckets, k = x.shape[1], len(languages)
@@ -111,7 +113,7 @@ def train(
 
 def fit_language(
     df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", usable: Column | None = None,
-    per_language: int = 800, buckets: int = 4096,
+    per_language: int = 400, buckets: int = 4096,
 ) -> LanguageModel | None:
     """Train on about ``per_language`` whole texts of each language of ``df`` (of the rows ``usable``).
 
@@ -137,13 +139,17 @@ def fit_language(
 
         return compute
 
-    found = add_columns(sample, "text", make, "counts binary").select("lang", "counts").toArrow().to_pydict()
-    if not found["lang"]:
+    found = add_columns(sample, "text", make, "counts binary").select("lang", "counts").toArrow()
+    if not found.num_rows:
         return None
-    order = sorted(range(len(found["lang"])), key=lambda i: (found["lang"][i], found["counts"][i]))
-    counts = np.stack([np.frombuffer(found["counts"][i], "<f4") for i in order])
-    labels = np.asarray([languages.index(found["lang"][i]) for i in order])
-    return train(counts, labels, languages)
+    # in an order of their own, whatever the partitioning; the driver holds the counts once
+    names, data = found.column("lang").to_pylist(), found.column("counts")
+    order = sorted(range(len(names)), key=lambda i: (names[i], hashlib.sha256(data[i].as_buffer()).digest()))
+    counts = np.empty((len(names), buckets), np.float32)
+    for row, i in enumerate(order):
+        counts[row] = np.frombuffer(data[i].as_buffer(), "<f4")
+    del found, data
+    return train(counts, np.asarray([languages.index(names[i]) for i in order]), languages)
 
 
 def detect_language(df: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
