@@ -19,7 +19,7 @@ class Workspace:
 
     ``keep`` writes a frame and returns it read back, which cuts its lineage and makes
     every later use read the same rows. What must outlive the block is written with
-    ``result``; all else goes when the block ends.
+    ``result``; all else goes when the block ends, shuffle files and the driver's garbage, too.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -31,6 +31,7 @@ class Workspace:
     def __exit__(self, *_) -> None:
         for path in self._paths:
             _delete(self.spark, path)
+        self.release()
 
     def path(self, name: str) -> str:
         """A fresh path that goes away with the workspace."""
