@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import and_
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +89,9 @@ def lookup(
     Duplicates are removed map-side first, so a key that fills a third of the
     table costs one call; the calls are spread over many tasks, ``workers`` at
     most. Rows with a null key get null answers. The join keeps every row and
-    may be split by adaptive skew handling on the row side.
+    may be split by adaptive skew handling on the row side. ``df`` is read
+    twice: store it first if it is expensive. Columns of ``df`` with the name
+    of an answer are replaced.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not keys:
@@ -98,6 +102,8 @@ def lookup(
         distinct, call, adds=adds, setup=setup, workers=workers or task_count(df.sparkSession),
         on_error=on_error, resources=resources,
     )
+    new = set(answers.columns) - set(keys)
+    df = df.drop(*new)
     return df.join(answers, keys, "left").select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[F.col(f"`{c}`") for c in answers.columns if c not in keys],
@@ -123,32 +129,26 @@ def embed_text(
     bucket: Callable[[Column], Column] | None = None,
     out: str = "embedding",
 ) -> DataFrame:
-    """Hashed bag of words: one unit-length vector of ``dim`` per key.
+    """Add a hashed bag of words: one unit-length vector of ``dim`` per row.
 
-    Words are counted per (key, bucket) before anything is shuffled, and a key
-    never holds more than ``dim`` counts after that, however long its text is.
+    ``bucket`` gives a word's place, 0 to ``dim - 1``; a null counts as 0. A text
+    without words gets zeros. The places are found in the JVM and counted in
+    Arrow batches beside the row, so nothing is shuffled, all columns stay and
+    rows that repeat a key are independent.
     """
     place = bucket or (lambda word: F.pmod(F.xxhash64(word), F.lit(dim)))
-    word = F.col("_word")
-    counts = (
-        df.select(key, F.explode_outer(words(F.col(text))).alias("_word"))
-        .select(
-            key,
-            F.coalesce(place(word).cast("int"), F.lit(0)).alias("_bucket"),
-            F.when(word != "", 1).otherwise(0).alias("_one"),
-        )
-        .groupBy(key, "_bucket")
-        .agg(F.sum("_one").alias("_n"))
-    )
-    vectors = counts.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("_bucket", "_n"))).alias("_counts"),
-        F.sqrt(F.sum(F.col("_n") * F.col("_n"))).alias("_norm"),
-    )
-    norm = F.when(F.col("_norm") > 0, F.col("_norm")).otherwise(F.lit(1.0))
-    return vectors.select(
-        key,
-        F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: F.coalesce(F.try_element_at("_counts", i), F.lit(0)) / norm,
-        ).alias(out),
-    )
+    found = F.filter(words(F.col(f"`{text}`")), lambda word: word != "")
+    places = F.transform(found, lambda word: F.coalesce(place(word).cast("int"), F.lit(0)))
+
+    def count(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            lengths = np.diff(part.offsets.to_numpy())
+            slots = np.repeat(np.arange(len(part)), lengths) * dim + part.flatten().to_numpy(zero_copy_only=False)
+            counts = np.bincount(slots, minlength=len(part) * dim).reshape(len(part), dim)
+            norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True).astype(float))
+            values = counts / np.where(norm > 0, norm, 1.0)
+            offsets = np.arange(len(part) + 1, dtype=np.int32) * dim
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+
+    vector = F.arrow_udf(count, "array<double>")
+    return df.withColumn(out, vector(F.coalesce(places, F.array().cast("array<int>"))))

@@ -114,20 +114,20 @@ def append_table(
         return _save(df, target, "append", format, partition_by)
 
 
-def overwrite_partitions(df: DataFrame, name: Name) -> None:
-    """Replace just those partitions of a table that ``df`` has rows for.
+def overwrite_partitions(spark: SparkSession, rows: Name, name: Name) -> None:
+    """Replace just those partitions of a table that the stored ``rows`` hold.
 
-    The mode goes into the session, because a table insert does not look at
-    writer options and would otherwise empty the whole table.
+    A table insert takes the mode from its session and would otherwise empty the
+    whole table, so it runs in a session of its own: the caller's settings are
+    never touched, and concurrent writers do not see each other's.
     """
-    conf = df.sparkSession.conf
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(mode)
-    conf.set(mode, "dynamic")
-    try:
-        df.write.insertInto(relation_name(name).sql(), overwrite=True)
-    finally:
-        conf.set(mode, before)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    own.table(relation_name(rows).sql()).write.insertInto(relation_name(name).sql(), overwrite=True)
+    spark.catalog.refreshTable(relation_name(name).sql())  # this session may remember the old files
 
 
 def _save(
@@ -254,7 +254,7 @@ def snapshot(
         with time_limit(spark, timeout_s, target.table):
             rows = _save(changed, staging, "error", "parquet")
             written = spark.table(staging.sql())
-            overwrite_partitions(written, target)
+            overwrite_partitions(spark, staging, target)
             if written.where(F.col("valid_to").isNull()).isEmpty():
                 # every key has vanished, so nothing has replaced the open rows
                 spark.sql(f"alter table {target.sql()} drop if exists partition (valid_to = null)")

@@ -9,12 +9,13 @@ import numpy as np
 import pandas as pd
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from modelloom.functions import default_if_falsy, free_name
-from modelloom.operators.parallel import bind_setup
+from modelloom.operators.parallel import bind_setup, parallel_map
 from modelloom.shared import scratch_path
 
 # fixed values of the churn formula
@@ -67,14 +68,31 @@ def score_batches(
     load: Callable[[], Any],
     predict: Callable[[pd.DataFrame, Any], Any],
     adds: str,
+    *,
+    workers: int | None = None,
+    resources: ResourceProfile | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Run a fitted model over batches of its feature columns.
 
     ``load`` makes the model once per Python worker. ``predict`` gets a frame
     of the features and the model, and returns one value per row (or, for
-    several added columns, a frame). All other columns stay in the JVM.
+    several added columns, a frame). All other columns stay in the JVM, unless
+    ``workers``, ``resources`` or ``on_error="column"`` ask for a whole
+    :func:`parallel_map` in batches, which has the meaning of these three.
     """
     names = StructType.fromDDL(adds).fieldNames()
+    if workers is not None or resources is not None or on_error != "fail":
+
+        def beside(frame: pd.DataFrame, model: Any) -> pd.DataFrame:
+            result = predict(frame[list(features)], model)
+            if not isinstance(result, pd.DataFrame):
+                result = pd.DataFrame({names[0]: result})
+            return frame.assign(**{n: result[n].array for n in names})
+
+        return parallel_map(
+            df, beside, adds=adds, mode="batch", setup=load, workers=workers, resources=resources, on_error=on_error
+        )
     bind = bind_setup(predict, load)
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,6 +9,7 @@ Spark SQL text with ``{{ ref('x') }}``, ``{{ source('g', 't') }}`` and
 
 from __future__ import annotations
 
+import ast
 import logging
 import re
 import time
@@ -19,11 +20,13 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from modelloom.config import ModelConfig
 from modelloom.errors import ConfigError, LoomError, ModelError, ModelTimeout, ResultError
+from modelloom.functions import free_name
 from modelloom.operators.checks import suite
-from modelloom.operators.materialize import append_table, create_view, kind_of, replace_table
+from modelloom.operators.materialize import append_table, create_view, kind_of, replace_table, time_limit
 from modelloom.operators.parallel import parallel_map, worker_resources
 from modelloom.sources import RelationName, Source, read_relation
 
@@ -39,7 +42,17 @@ _MARKER = re.compile(
 )
 _COMMENT = re.compile(r"\{#.*?#\}", re.DOTALL)
 _CONFIG = re.compile(r"\{\{\s*config\((.*?)\)\s*\}\}", re.DOTALL)
-_SETTING = re.compile(r"""(\w+)\s*=\s*(?:'([^']*)'|"([^"]*)"|([\w.]+))""")
+
+
+def _settings(call: str) -> dict[str, Any]:
+    """The settings in the brackets of a ``config(...)``: names with literal values, nothing else."""
+    try:
+        tree = ast.parse(f"config({call.strip()})", mode="eval").body
+        if tree.args or any(k.arg is None for k in tree.keywords):
+            raise ValueError("settings need names")
+        return {k.arg: ast.literal_eval(k.value) for k in tree.keywords}
+    except (SyntaxError, ValueError) as exc:
+        raise ConfigError(f"config({call.strip()}) holds more than names with literal values: {exc}") from exc
 
 
 @dataclass(frozen=True)
@@ -126,11 +139,7 @@ class Project:
         incremental model exists.
         """
         text = _COMMENT.sub("", text)
-        inside = {
-            key: single or double or bare
-            for call in _CONFIG.findall(text)
-            for key, single, double, bare in _SETTING.findall(call)
-        }
+        inside = {name: value for call in _CONFIG.findall(text) for name, value in _settings(call).items()}
         text = _CONFIG.sub("", text)
         both = text + (incremental_text or "")
         markers = list(_MARKER.finditer(both))
@@ -221,7 +230,8 @@ class Project:
     def _run_model(self, spark: SparkSession, model: Model, full_refresh: bool) -> ModelRun:
         start = time.perf_counter()
         try:
-            rows = self._build(spark, model, full_refresh)
+            with time_limit(spark, model.config.timeout_s, model.name):  # of the body and the write
+                rows = self._build(spark, model, full_refresh)
         except ModelTimeout as exc:
             raise ModelTimeout(model.name, exc.seconds) from exc
         except LoomError as exc:
@@ -251,7 +261,7 @@ class Project:
             if not isinstance(df, DataFrame):
                 raise ResultError(f"a model must return a Spark DataFrame, got {type(df).__name__}")
         write = append_table if grows else replace_table
-        return write(df, target, format=self.format, timeout_s=model.config.timeout_s)
+        return write(df, target, format=self.format)
 
     def test(self, spark: SparkSession, *, select: Iterable[str] | None = None) -> DataFrame:
         """The declared tests of the stored models as (model, column, test, failures)."""
@@ -318,23 +328,34 @@ def only_new(
 ) -> DataFrame:
     """Rows of ``df`` an incremental table does not have yet.
 
-    Without ``look_back`` these are the rows newer than the newest stored one.
-    With it, rows up to that much older are taken too unless their ``key`` is
-    already stored, so that late rows are not missed.
+    Without a ``key`` these are the rows newer than the newest stored one; rows
+    that tie with it count as stored, and since a null order value cannot be
+    told new from old, a ConfigError refuses it. With a ``key`` they are the rows
+    not older than the newest one (less ``look_back``) or without an order
+    value, unless their key is stored; null is a key like any other.
     """
     # one value by way of the driver, so that the bound is a literal which the
-    # scan can use to skip row groups; as text it keeps type and time zone
-    newest = this.agg(F.max(newer_by).cast("string")).first()[0]
-    if newest is None:
-        return df
-    newest = F.lit(newest).cast(this.schema[newer_by].dataType)
-    if look_back is None:
-        return df.where(F.col(newer_by) > newest)
+    # scan can use to skip row groups; an instant as its microseconds, others as text
+    kind = this.schema[newer_by].dataType
+    largest = F.max(newer_by)
+    if isinstance(kind, TimestampType):
+        newest = this.agg(F.unix_micros(largest)).first()[0]
+        bound = F.timestamp_micros(F.lit(newest))
+    else:
+        newest = this.agg(largest.cast("string")).first()[0]
+        bound = F.lit(newest).cast(kind)
+    at = F.col(f"`{newer_by}`")
     if key is None:
-        raise ConfigError("a look-back needs a key to tell stored rows from new ones")
-    since = newest - look_back
-    recent = this.where(F.col(newer_by) > since).select(key)
-    return df.where(F.col(newer_by) > since).join(recent, key, "left_anti")
+        if look_back is not None:
+            raise ConfigError("a look-back needs a key to tell stored rows from new ones")
+        if not df.where(at.isNull()).isEmpty():
+            raise ConfigError(f"rows without `{newer_by}` need a key to tell stored rows from new ones")
+        return df if newest is None else df.where(at > bound)
+    since = bound if look_back is None else bound - look_back
+    recent = F.lit(True) if newest is None else at.isNull() | (at >= since)
+    stored = free_name(df, "_stored")
+    keys = this.where(recent).select(F.col(f"`{key}`").alias(stored))
+    return df.where(recent).join(keys, F.col(f"`{key}`").eqNullSafe(F.col(stored)), "left_anti")
 
 
 def report(spark: SparkSession, runs: Sequence[ModelRun]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from modelloom.functions import empty_like
-from modelloom.operators.materialize import append_table, kind_of, overwrite_partitions
+from modelloom.operators.materialize import append_table, kind_of
 from modelloom.sources import RelationName, relation_name
 
 BATCH_COLUMN = "batch_id"
@@ -53,15 +54,22 @@ def append_stream(
             start.withColumn(BATCH_COLUMN, F.lit("")), target,
             format=format, partition_by=[BATCH_COLUMN],
         )
-    columns = spark.table(target.sql()).columns
+    columns = [c for c in spark.table(target.sql()).columns if c != BATCH_COLUMN]
     started = threading.Event()
     query: StreamingQuery | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started.wait()
         stamp = f"{query.id}-{batch_id}"
-        stamped = batch.withColumn(BATCH_COLUMN, F.lit(stamp))
-        overwrite_partitions(stamped.select(*[F.col(f"`{c}`") for c in columns]), target)
+        # a named partition is overwritten alone, whatever the session's settings
+        view = f"batch_{uuid.uuid4().hex}"
+        batch.select(*[F.col(f"`{c}`") for c in columns]).createOrReplaceTempView(view)
+        try:
+            batch.sparkSession.sql(
+                f"insert overwrite table {target.sql()} partition ({BATCH_COLUMN} = '{stamp}') select * from {view}"
+            )
+        finally:
+            batch.sparkSession.catalog.dropTempView(view)
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -1,5 +1,6 @@
 import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,21 @@ def test_snapshot(spark, schema):
     ], key=repr)
 
 
+def test_writers_leave_the_session_alone(spark, schema):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before, seen = spark.conf.get(mode), set()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    with ThreadPoolExecutor(4) as pool:
+        for month in (1, 2, 3):
+            jobs = [pool.submit(snapshot, df.withColumn("v", F.lit(f"{month}")), f"{schema}.h{i}", "k", at(f"2024-0{month}-01")) for i in range(4)]
+            while not all(j.done() for j in jobs):
+                seen.add(spark.conf.get(mode))
+                time.sleep(0.01)
+            [j.result() for j in jobs]
+    assert seen <= {before} and spark.conf.get(mode) == before
+    assert [spark.table(f"{schema}.h{i}").count() for i in range(4)] == [6] * 4
+
+
 def test_snapshot_rejects(spark, schema):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     with pytest.raises(ConfigError):
@@ -329,6 +345,31 @@ def test_only_new_for_any_order_type(spark, kind, values, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_only_new_with_nulls_and_ties(spark):
+    stored = spark.createDataFrame([(1, 10), (2, 20), (None, 20), (4, None)], "k int, v int")
+    df = stored.unionAll(spark.createDataFrame([(5, 20), (6, None), (7, 30), (8, 5)], "k int, v int"))
+
+    def keys(**how):
+        return sorted(r.k for r in only_new(df, stored, newer_by="v", **how).collect())
+
+    assert keys(key="k") == [5, 6, 7]
+    assert keys(key="k", look_back=F.lit(15)) == [5, 6, 7, 8]
+    with pytest.raises(ConfigError, match="need a key"):
+        keys()
+    assert sorted(r.k for r in only_new(df, stored.limit(0), newer_by="v", key="k").collect() if r.k) == [1, 2, 4, 5, 6, 7, 8]
+
+
+def test_only_new_in_the_hour_that_comes_twice(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # 01:30 in summer time and, an hour later, in winter time
+        df = spark.sql("select i, timestamp_seconds(1730611800 + 3600 * i) as v from values (0), (1), (2) as t(i)")
+        for i in range(3):
+            assert sorted(r.i for r in only_new(df, df.where(F.col("i") <= i), newer_by="v").collect()) == list(range(i + 1, 3))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_only_new_reaches_the_scan(spark, schema):
     replace_table(spark.range(10), f"{schema}.t")
     new = only_new(spark.table(f"{schema}.t"), spark.range(5), newer_by="id")
@@ -367,6 +408,11 @@ def test_texts_with_settings_and_comments(spark, schema, rows):
         project.sql_model("loop", "{% for x in y %} select 1 {% endfor %}")
     with pytest.raises(ConfigError, match="unknown settings"):
         project.sql_model("odd", "{{ config(materialised='table') }} select 1")
+    for call in ("workers=1+x", "'table'", "workers=[", "**how"):
+        with pytest.raises(ConfigError, match="literal values"):
+            project.sql_model("odd", "{{ config(" + call + ") }} select 1")
+    with pytest.raises(ConfigError, match="positive"):
+        project.sql_model("odd", "{{ config(workers=-1) }} select 1")
 
 
 def test_properties_document(spark, schema, rows):
@@ -450,6 +496,20 @@ def test_model_time_limit(spark, schema):
         project.run(spark)
 
 
+def test_time_limit_holds_for_jobs_of_the_body(spark, schema):
+    project = Project(schema)
+
+    @project.model(timeout_s=2)
+    def counting(ctx, spark):
+        slow = ctx.parallel_map(spark.range(0, 100, numPartitions=1), lambda r: time.sleep(0.2) or r)
+        return spark.range(slow.count())
+
+    start = time.time()
+    with pytest.raises(ModelTimeout, match="`counting`"):
+        project.run(spark)
+    assert time.time() - start < 15
+
+
 def test_context_map_takes_the_model_settings(spark, schema):
     project = Project(schema)
     seen = {}
