@@ -17,7 +17,8 @@ class ModelConfig:
 
     ``workers`` caps how many tasks of a ``parallel_map`` run at once and is
     meant for outside services with a rate limit. Unset means no cap: the map
-    runs in the partitions its input already has, without a shuffle.
+    runs in the partitions its input already has, without a shuffle. Tables are
+    stored by the columns of ``partition_by``: a list, or names with commas.
     """
 
     materialized: str = "table"
@@ -26,6 +27,7 @@ class ModelConfig:
     ram_per_worker: int | None = None
     timeout_s: float | None = None
     batch_size: int | None = None
+    partition_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.materialized not in MATERIALIZATIONS:
@@ -44,6 +46,10 @@ class ModelConfig:
         if unknown:
             raise ConfigError(f"unknown settings: {', '.join(sorted(unknown))}")
         for name, value in changes.items():
+            if name == "partition_by":
+                names = value.split(",") if isinstance(value, str) else value or ()
+                changes[name] = tuple(n.strip() for n in names)
+                continue
             if value is None or name == "materialized":
                 continue
             try:

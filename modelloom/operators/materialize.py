@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 from modelloom.errors import ConfigError, ModelTimeout, ResultError
 from modelloom.sources import RelationName, relation_name
@@ -17,6 +18,7 @@ Name = str | RelationName
 
 # table formats whose catalogs replace a table in one transaction
 TRANSACTIONAL = ("delta", "iceberg")
+HISTORY_PART = "history_part"
 
 
 def kind_of(spark: SparkSession, name: Name) -> str | None:
@@ -49,11 +51,24 @@ def create_view(spark: SparkSession, name: Name, query: str) -> None:
     spark.sql(f"create or replace view {relation_name(name).sql()} as {query}")
 
 
+def partition_columns(spark: SparkSession, name: Name) -> list[str]:
+    """The columns a stored table is partitioned by."""
+    return [c.name for c in spark.catalog.listColumns(relation_name(name).sql()) if c.isPartition]
+
+
 def replace_table(
-    df: DataFrame, name: Name, *, format: str = "parquet", timeout_s: float | None = None
+    df: DataFrame,
+    name: Name,
+    *,
+    format: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    timeout_s: float | None = None,
 ) -> int:
     """Store ``df`` as the table, whatever the table held before; returns the row count.
 
+    Unless ``partition_by`` is given, the table stays partitioned by those of its
+    partition columns that ``df`` has, too.
+
     The new table is written next to the old one (or view), which stays
     readable, also for ``df`` itself, until the write is done. Then they change
     names; if that fails the old one gets its name back. The two renames are not
@@ -63,18 +78,23 @@ def replace_table(
     spark = df.sparkSession
     target = relation_name(name)
     create_schema(spark, target)
+    before = kind_of(spark, target)
+    if partition_by is None:
+        partition_by = [c for c in partition_columns(spark, target) if c in df.columns] if before == "table" else []
     if format in TRANSACTIONAL:
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        writer = counted.writeTo(target.sql()).using(format)
+        if partition_by:
+            writer = writer.partitionedBy(*map(F.col, partition_by))
         with time_limit(spark, timeout_s, target.table):
-            counted.writeTo(target.sql()).using(format).createOrReplace()
+            writer.createOrReplace()
         return int(seen.get.get("rows", 0))
     mark = uuid.uuid4().hex[:8]
     staging, backup = target.sibling(f"__stg_{mark}"), target.sibling(f"__bak_{mark}")
     try:
         with time_limit(spark, timeout_s, target.table):
-            rows = _save(df, staging, "error", format)
-        before = kind_of(spark, target)
+            rows = _save(df, staging, "error", format, partition_by)
         if before:
             _rename(spark, before, target, backup)
         try:
@@ -97,7 +117,10 @@ def append_table(
     partition_by: Sequence[str] = (),
     timeout_s: float | None = None,
 ) -> int:
-    """Add the rows to the table, matching columns by name; a missing table is created."""
+    """Add the rows to the table, matching columns by name; a missing table is created.
+
+    A table that is there keeps its partition columns.
+    """
     spark = df.sparkSession
     target = relation_name(name)
     create_schema(spark, target)
@@ -110,6 +133,7 @@ def append_table(
                 f"not in the table {sorted(set(df.columns) - set(have))}"
             )
         df = df.select(*[F.col(f"`{c}`") for c in have])
+        partition_by = partition_columns(spark, target)
     with time_limit(spark, timeout_s, target.table):
         return _save(df, target, "append", format, partition_by)
 
@@ -126,7 +150,8 @@ def overwrite_partitions(spark: SparkSession, rows: Name, name: Name) -> None:
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
     own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
-    own.table(relation_name(rows).sql()).write.insertInto(relation_name(name).sql(), overwrite=True)
+    gathered = own.table(relation_name(rows).sql()).hint("rebalance", *partition_columns(own, name))  # few files a part
+    gathered.write.insertInto(relation_name(name).sql(), overwrite=True)
     spark.catalog.refreshTable(relation_name(name).sql())  # this session may remember the old files
 
 
@@ -144,6 +169,10 @@ def _save(
 
 def _rename(spark: SparkSession, kind: str, old: RelationName, new: RelationName) -> None:
     spark.sql(f"alter {kind} {old.sql()} rename to {new.within_catalog().sql()}")
+    if kind == "table" and partition_columns(spark, new):
+        # the files have moved, the catalog's list of partitions has not
+        spark.sql(f"alter table {new.sql()} recover partitions")
+        spark.catalog.refreshTable(new.sql())
 
 
 @contextmanager
@@ -178,26 +207,37 @@ def time_limit(spark: SparkSession, seconds: float | None, label: str) -> Iterat
         sc.removeJobTag(tag)
 
 
+def _micros(time: Column, kind: DataType) -> Column:
+    """Microseconds since 1970, whatever the session's time zone."""
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(time)
+    return F.unix_micros(F.concat(time.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp"))
+
+
 def snapshot(
     df: DataFrame,
     name: Name,
     key: str,
     as_of: Column,
     *,
+    buckets: int = 64,
     timeout_s: float | None = None,
 ) -> int:
     """Keep the history of a table: one row per state of a key, open while it lasts.
 
     Rows that changed or vanished get their ``valid_to``, changed and new ones a
-    row with ``valid_from``. ``as_of`` is the time of this run; unless it is later
-    than that of the last, a ConfigError says so and nothing is written. A key
-    that ``df`` repeats fails the job. Returns the rows
-    written: the table is partitioned by ``valid_to`` and a run rewrites only
-    the open rows, whatever the length of the history.
+    row with ``valid_from``. ``as_of``, a date or timestamp, is the time of this
+    run; unless it is later than that of the last, a ConfigError says so and
+    nothing is written. A key that ``df`` repeats fails the job.
+
+    The table is partitioned by ``history_part``: open rows lie in ``buckets``
+    parts by key, the rows a run closed in a part of that run. A run rewrites
+    the open parts in which something changed and adds one; returns the rows
+    written. ``buckets`` may differ between runs: known keys stay in their part.
     """
     spark = df.sparkSession
     target = relation_name(name)
-    reserved = {"valid_from", "valid_to"} & set(df.columns)
+    reserved = {"valid_from", "valid_to", HISTORY_PART} & set(df.columns)
     if reserved:
         raise ConfigError(f"snapshot needs the names {sorted(reserved)} for itself")
     # one row per key, or an error, in the job that uses it
@@ -206,58 +246,72 @@ def snapshot(
     )
     twice = F.raise_error(F.concat(F.lit("snapshot: repeated key "), F.coalesce(F.col("_is_key").cast("string"), F.lit("null"))))
     once = once.select("_is_key", F.when(F.col("_n") > 1, twice).otherwise(F.col("_is")).alias("_is"))
+    home = F.concat(F.lit("open-"), F.pmod(F.xxhash64("_is_key"), F.lit(buckets)).cast("string"))
     if kind_of(spark, target) is None:
-        first = once.select("_is.*", as_of.alias("valid_from"))
+        first = once.select("_is.*", as_of.alias("valid_from"), home.alias(HISTORY_PART))
+        if not isinstance(first.schema["valid_from"].dataType, (TimestampType, TimestampNTZType, DateType)):
+            raise ConfigError("as_of must be a date or a timestamp")
         still_open = F.lit(None).cast(first.schema["valid_from"].dataType)
         return append_table(
             first.withColumn("valid_to", still_open), target,
-            partition_by=["valid_to"], timeout_s=timeout_s,
+            partition_by=[HISTORY_PART], timeout_s=timeout_s,
         )
 
     history = spark.table(target.sql())
+    columns = [c for c in history.columns if c not in ("valid_from", "valid_to", HISTORY_PART)]
+    if set(columns) != set(df.columns) or HISTORY_PART not in history.columns:
+        raise ResultError(f"columns differ from those of the history {target.dotted()}")
     time_type = history.schema["valid_from"].dataType
     now, still_open = as_of.cast(time_type), F.lit(None).cast(time_type)
-    columns = [c for c in history.columns if c not in ("valid_from", "valid_to")]
-    if set(columns) != set(df.columns):
-        raise ResultError(f"columns differ from those of the history {target.dotted()}")
-
-    # the newest times are those of the open rows and of the last closed partition
-    starts = history.where(F.col("valid_to").isNull()).agg(F.max("valid_from").alias("at"))
-    latest = starts.unionAll(history.agg(F.max("valid_to"))).agg(F.max("at").alias("latest")).select("latest", now.alias("now")).first()
-    if latest["now"] is None or (latest["latest"] is not None and latest["now"] <= latest["latest"]):
-        raise ConfigError(f"as_of {latest['now']} is not later than {latest['latest']}, the last of {target.dotted()}")
-
-    state = F.struct(*[F.col(f"`{c}`") for c in columns])
-    was = history.where(F.col("valid_to").isNull()).select(
-        F.col(key).alias("_was_key"), state.alias("_was"), "valid_from"
+    current = history.where(F.col(HISTORY_PART).startswith("open-"))
+
+    # the last run's time is the newest of the open rows' and of the closed parts' names
+    closed = spark.sql(f"show partitions {target.sql()}").select(F.regexp_extract("partition", "=closed-(-?[0-9]+)$", 1).alias("at"))
+    ended = closed.where("at <> ''").agg(F.max(F.col("at").cast("bigint")).alias("at"))
+    times = current.agg(F.max("valid_from").alias("from")).select(_micros(F.col("from"), time_type).alias("at")).unionAll(ended)
+    latest = times.agg(F.max("at").alias("last")).select("last", _micros(now, time_type).alias("now"), now.cast("string").alias("as_of")).first()
+    if latest["now"] is None or (latest["last"] is not None and latest["now"] <= latest["last"]):
+        raise ConfigError(f"as_of {latest['as_of']} is not later than the last run of {target.dotted()}")
+    ending = F.lit(f"closed-{latest['now']}")
+
+    was = current.select(
+        F.col(key).alias("_was_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_was"), "valid_from", HISTORY_PART
     )
     now_is = once.select("_is_key", F.struct(*[F.col("_is").getField(c).alias(c) for c in columns]).alias("_is"))
     both = was.join(now_is, F.col("_was_key").eqNullSafe(F.col("_is_key")), "full_outer")
-
-    same = F.col("_was").eqNullSafe(F.col("_is"))
+    home = F.coalesce(F.col(HISTORY_PART), home)
     versions = F.array_compact(F.array(
         F.when(F.col("_was").isNotNull(), F.struct(
-            F.col("_was").alias("row"), F.col("valid_from").alias("since"),
-            F.when(~same, now).alias("until"),
+            F.col("_was").alias("row"), F.col("valid_from").alias("since"), now.alias("until"), ending.alias("part"),
         )),
-        F.when(F.col("_is").isNotNull() & ~same, F.struct(
-            F.col("_is").alias("row"), now.alias("since"), still_open.alias("until"),
+        F.when(F.col("_is").isNotNull(), F.struct(
+            F.col("_is").alias("row"), now.alias("since"), still_open.alias("until"), home.alias("part"),
         )),
     ))
-    changed = both.select(F.explode(versions).alias("v")).select(
-        "v.row.*", F.col("v.since").alias("valid_from"), F.col("v.until").alias("valid_to")
+    changed = both.where(~F.col("_was").eqNullSafe(F.col("_is"))).select(home.alias("_home"), F.explode(versions).alias("v"))
+    changed = changed.select(
+        "v.row.*", F.col("v.since").alias("valid_from"), F.col("v.until").alias("valid_to"),
+        F.col("v.part").alias(HISTORY_PART), "_home",
     )
-    # a table cannot be overwritten while it is read, so the new rows are written
-    # down first; then only the partitions they fill are replaced
-    staging = target.sibling(f"__stg_{uuid.uuid4().hex[:8]}")
+    # the changes are written down first, then the whole rows of the parts they touch, since a
+    # table cannot be overwritten while it is read; at last just those parts are replaced
+    mark = uuid.uuid4().hex[:8]
+    changes, staging = target.sibling(f"__chg_{mark}"), target.sibling(f"__stg_{mark}")
     try:
         with time_limit(spark, timeout_s, target.table):
-            rows = _save(changed, staging, "error", "parquet")
-            written = spark.table(staging.sql())
+            if not _save(changed, changes, "error", "parquet"):
+                return 0
+            new = spark.table(changes.sql())
+            touched = {r["_home"] for r in new.select("_home").distinct().collect()}  # open parts: few
+            gone = new.where(F.col(HISTORY_PART) == ending).select(F.col(key).alias("_gone"))
+            left = history.where(F.col(HISTORY_PART).isin(*touched))
+            left = left.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+            rows = _save(left.unionByName(new.drop("_home")).select(*history.columns), staging, "error", "parquet")
             overwrite_partitions(spark, staging, target)
-            if written.where(F.col("valid_to").isNull()).isEmpty():
-                # every key has vanished, so nothing has replaced the open rows
-                spark.sql(f"alter table {target.sql()} drop if exists partition (valid_to = null)")
+            filled = {r[0] for r in spark.table(staging.sql()).select(HISTORY_PART).distinct().collect()}
+            for part in sorted(touched - filled):  # all keys have vanished, so nothing has replaced them
+                spark.sql(f"alter table {target.sql()} drop if exists partition ({HISTORY_PART} = '{part}')")
     finally:
         drop(spark, staging)
+        drop(spark, changes)
     return rows

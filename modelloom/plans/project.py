@@ -261,7 +261,7 @@ class Project:
             if not isinstance(df, DataFrame):
                 raise ResultError(f"a model must return a Spark DataFrame, got {type(df).__name__}")
         write = append_table if grows else replace_table
-        return write(df, target, format=self.format)
+        return write(df, target, format=self.format, partition_by=model.config.partition_by)
 
     def test(self, spark: SparkSession, *, select: Iterable[str] | None = None) -> DataFrame:
         """The declared tests of the stored models as (model, column, test, failures)."""

@@ -212,6 +212,64 @@ def test_snapshot(spark, schema):
     ], key=repr)
 
 
+def test_snapshot_rewrites_what_changed(spark, schema):
+    name = f"{schema}.h"
+    before = spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    assert snapshot(before, name, "k", at("2024-01-01"), buckets=50) == 1000
+    after = before.withColumn("v", F.when(F.col("k") == 7, "b").otherwise(F.col("v")))
+    assert 2 <= snapshot(after, name, "k", at("2024-02-01"), buckets=8) < 60  # its part, and the row it closes
+    assert snapshot(after, name, "k", at("2024-03-01")) == 0
+    more = after.unionAll(spark.createDataFrame([(5000, "n"), (None, "m")], "k bigint, v string")).where("k is null or k <> 9")
+    snapshot(more, name, "k", at("2024-04-01"), buckets=8)
+    stored = spark.table(name)
+    assert stored.where("valid_to is null").select("k", "v").exceptAll(more).isEmpty()
+    assert stored.where("valid_to is null").count() == 1001
+    assert sorted((r.k, r.v, r.valid_to.month) for r in stored.where("valid_to is not null").collect()) == [(7, "a", 2), (9, "a", 4)]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_snapshot_times_in_other_zones(spark, schema, kind):
+    name, zone = f"{schema}.h", "spark.sql.session.timeZone"
+    when = spark.conf.get(zone)
+    micros = F.unix_micros(F.col("valid_to")) if kind == "timestamp" else F.col("valid_to").cast("string")
+    try:
+        spark.conf.set(zone, "America/New_York")
+        snapshot(spark.createDataFrame([(1, "a")], "k int, v string"), name, "k", F.lit("2024-01-01").cast(kind))
+        snapshot(spark.createDataFrame([(1, "b")], "k int, v string"), name, "k", F.lit("2024-02-01").cast(kind))
+        first = spark.table(name).where("v = 'a'").select(micros).first()[0]
+        spark.conf.set(zone, "Asia/Tokyo")
+        assert spark.table(name).where("v = 'a'").select(micros).first()[0] == first
+        with pytest.raises(ConfigError):
+            snapshot(spark.createDataFrame([(1, "c")], "k int, v string"), name, "k", F.lit("2024-02-01").cast(kind))
+    finally:
+        spark.conf.set(zone, when)
+
+
+def test_partitions_stay(spark, schema):
+    name = f"{schema}.parts"
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, p string")
+    replace_table(df, name, partition_by=["p"])
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (2, "b"), (3, None)]
+    replace_table(spark.table(name).withColumn("x", F.col("x") + 10), name)  # reads what it replaces
+    assert sorted(r.partition for r in spark.sql(f"show partitions {name}").collect()) == [
+        "p=__HIVE_DEFAULT_PARTITION__", "p=a", "p=b"]
+    assert sorted(map(tuple, spark.table(name).collect())) == [(11, "a"), (12, "b"), (13, None)]
+    append_table(spark.createDataFrame([("c", 9)], "p string, x int"), name)
+    assert spark.table(name).where("p = 'c'").count() == 1 and spark.table(name).count() == 4
+    replace_table(df.drop("p"), name)
+    assert spark.table(name).columns == ["x"] and spark.table(name).count() == 3
+
+
+def test_models_with_partitions(spark, schema):
+    project = Project(schema)
+    project.sql_model("m", "{{ config(materialized='incremental', partition_by=['p']) }} select 1 as x, 'a' as p")
+    for _ in range(2):
+        project.run(spark)
+    name = project.relation("m").sql()
+    assert [r.partition for r in spark.sql(f"show partitions {name}").collect()] == ["p=a"]
+    assert spark.table(name).count() == 2
+
+
 def test_writers_leave_the_session_alone(spark, schema):
     mode = "spark.sql.sources.partitionOverwriteMode"
     before, seen = spark.conf.get(mode), set()
