@@ -83,9 +83,13 @@ def lookup(
     workers: int | None = None,
     on_error: str = "fail",
     resources: ResourceProfile | None = None,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Ask an outside service once per distinct key and join the answers back.
 
+    With ``batch_size`` a call gets a list of up to so many keys, as dicts, and
+    returns a list of dicts, each with its key and the answers, in any order.
+
     Duplicates are removed map-side first, so a key that fills a third of the
     table costs one call; the calls are spread over many tasks, ``workers`` at
     most. Rows with a null key get null answers. The join keeps every row and
@@ -99,8 +103,8 @@ def lookup(
     present = reduce(and_, [F.col(k).isNotNull() for k in keys])
     distinct = df.where(present).select(*keys).distinct()
     answers = parallel_map(
-        distinct, call, adds=adds, setup=setup, workers=workers or task_count(df.sparkSession),
-        on_error=on_error, resources=resources,
+        distinct, call, adds=adds, mode="list" if batch_size else "row", batch_size=batch_size, setup=setup,
+        workers=workers or task_count(df.sparkSession), on_error=on_error, resources=resources,
     )
     new = set(answers.columns) - set(keys)
     df = df.drop(*new)

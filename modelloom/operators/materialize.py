@@ -51,6 +51,16 @@ def create_view(spark: SparkSession, name: Name, query: str) -> None:
     spark.sql(f"create or replace view {relation_name(name).sql()} as {query}")
 
 
+def recover(spark: SparkSession, name: Name) -> None:
+    """Give a table its name back if a run died between the two renames that replace it."""
+    target = relation_name(name)
+    if kind_of(spark, target) is not None or (target.schema and not spark.catalog.databaseExists(target.schema.sql())):
+        return
+    tables = spark.catalog.listTables(target.schema.sql() if target.schema else None, f"{target.table}__bak_*")
+    for kept in [target.sibling(t.name[len(target.table):]) for t in tables if not t.isTemporary][:1]:
+        _rename(spark, kind_of(spark, kept), kept, target)
+
+
 def partition_columns(spark: SparkSession, name: Name) -> list[str]:
     """The columns a stored table is partitioned by."""
     return [c.name for c in spark.catalog.listColumns(relation_name(name).sql()) if c.isPartition]
@@ -78,6 +88,7 @@ def replace_table(
     spark = df.sparkSession
     target = relation_name(name)
     create_schema(spark, target)
+    recover(spark, target)
     before = kind_of(spark, target)
     if partition_by is None:
         partition_by = [c for c in partition_columns(spark, target) if c in df.columns] if before == "table" else []

@@ -26,7 +26,7 @@ from modelloom.config import ModelConfig
 from modelloom.errors import ConfigError, LoomError, ModelError, ModelTimeout, ResultError
 from modelloom.functions import free_name
 from modelloom.operators.checks import suite
-from modelloom.operators.materialize import append_table, create_view, kind_of, replace_table, time_limit
+from modelloom.operators.materialize import append_table, create_view, kind_of, recover, replace_table, time_limit
 from modelloom.operators.parallel import parallel_map, worker_resources
 from modelloom.sources import RelationName, Source, read_relation
 
@@ -247,6 +247,7 @@ class Project:
     def _build(self, spark: SparkSession, model: Model, full_refresh: bool) -> int | None:
         target = self.relation(model.name)
         stored = model.config.materialized
+        recover(spark, target)
         grows = stored == "incremental" and not full_refresh and kind_of(spark, target) == "table"
         ctx = Context(self, model, spark, grows)
         if isinstance(model.body, str):

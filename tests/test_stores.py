@@ -245,6 +245,17 @@ def test_snapshot_times_in_other_zones(spark, schema, kind):
         spark.conf.set(zone, when)
 
 
+def test_a_run_that_died_between_renames(spark, schema):
+    name = f"{schema}.m"
+    project = Project(schema)
+    project.sql_model("m", "select 2 as x", materialized="incremental")
+    replace_table(spark.sql("select 1 as x"), name)
+    spark.sql(f"alter table {name} rename to {schema}.m__bak_0123abcd")
+    project.run(spark)  # adds to what was there
+    assert sorted(r.x for r in spark.table(name).collect()) == [1, 2]
+    assert tables(spark, schema) == ["m"]
+
+
 def test_partitions_stay(spark, schema):
     name = f"{schema}.parts"
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, p string")
