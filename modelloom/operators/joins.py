@@ -23,8 +23,9 @@ def merge(
     """Inner equi-join with one copy of each key column in the result.
 
     Null keys match nothing, as in SQL; with ``null_safe`` they match each
-    other, as in a frame library: then all null-key rows of both sides meet. Other columns of the same name get the suffixes. The
-    strategy (broadcast, sort-merge, skew splitting) is left to the optimizer.
+    other, as in a frame library: then all null-key rows of both sides meet.
+    Other columns of the same name get the suffixes. The strategy (broadcast,
+    sort-merge, skew splitting) is left to the optimizer.
     """
     keys = [on] if isinstance(on, str) else list(on)
     for side, df in (("left", left), ("right", right)):
