@@ -368,6 +368,24 @@ def test_similar_documents(spark, work, common, monkeypatch):
     assert [r[2] for r in got if r[0] is None] == [None]
 
 
+def linked_group(seed, n, strays):
+    """Copies of one text of 120 words with an edit each, and texts that share its last 99 words, under 75 %."""
+    base, rng = words(seed, 120, 5000), random.Random(seed)
+    out = []
+    for i in range(n):
+        copy = list(base)
+        copy[rng.randrange(60)] = f"edit{i}"
+        out.append(" ".join(copy))
+    return out + [" ".join(words(seed + 1 + i, 21, 5000) + base[21:]) for i in range(strays)]
+
+
+def test_similar_documents_in_pieces_of_one_component(spark, work, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    rows = list(enumerate(linked_group(70, 60, 1)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert {tuple(r) for r in jaccard.similar_documents(spark, df, work).collect()} == brute_components(rows)
+
+
 def test_similar_documents_of_no_rows(spark, work):
     assert jaccard.similar_documents(spark, spark.createDataFrame([], "doc_id bigint, text string"), work).count() == 0
 
