@@ -386,6 +386,18 @@ def test_similar_documents_in_pieces_of_one_component(spark, work, monkeypatch):
     assert {tuple(r) for r in jaccard.similar_documents(spark, df, work).collect()} == brute_components(rows)
 
 
+def test_similar_documents_of_a_table_twice(spark, work):
+    # in each four the second and third are alike, but share no signature that the first, like neither, has not
+    rows = list(enumerate(near_copies(4)))
+    for g in range(12):
+        x, y, *ends = (words(500 + 10 * g + i, n, 5000) for i, n in enumerate([104, 44, 10, 10, 60]))
+        rows += [(1000 + 10 * g + i, " ".join(t)) for i, t in enumerate([x + y, x + ends[0], x + ends[1], y + ends[2]])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    df = df.repartition(3).union(df.repartition(2, "doc_id"))
+    got = Counter(map(tuple, jaccard.similar_documents(spark, df, work).collect()))
+    assert got == Counter({r: 2 for r in brute_components(rows)})
+
+
 def test_similar_documents_of_no_rows(spark, work):
     assert jaccard.similar_documents(spark, spark.createDataFrame([], "doc_id bigint, text string"), work).count() == 0
 
