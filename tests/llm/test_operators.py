@@ -417,6 +417,19 @@ def test_similar_sets_share_a_signature():
             assert jaccard.may_link(jaccard.sketch(a), jaccard.sketch(b), len(a), len(b), 75)
 
 
+@pytest.mark.parametrize("partitions", [1, 2, 4, 16])
+def test_similar_sets_of_few_partitions_share_a_signature(partitions, monkeypatch):
+    monkeypatch.setattr(jaccard.Bands, "partitions", lambda self, band: partitions)
+    test_similar_sets_share_a_signature()
+
+
+def test_similar_documents_of_one_partition(spark, work):
+    text = "rig rob len bes fal bab bum"  # its three shingles lie in one of 1,024 partitions
+    rows = list(enumerate([text, f"{text} end", f"start {text}", "rig rob len bes fal bab", text]))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {tuple(r) for r in jaccard.similar_documents(spark, df, work).collect()} == brute_components(rows)
+
+
 # --- repeated passages
 
 
