@@ -398,6 +398,23 @@ def test_similar_documents_of_a_table_twice(spark, work):
     assert got == Counter({r: 2 for r in brute_components(rows)})
 
 
+@pytest.mark.parametrize("apart", [1, 9])
+def test_pieces_of_a_large_component(spark, work, apart, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    groups = {i: 0 if i < 200 else i - i % 2 for i in range(200 + apart)}
+    placed = [(7, i, g) for i, g in groups.items()] + [(8, i, 0) for i in range(50)] + [(9, i, groups[i]) for i in (0, 200)]
+    kept = work.keep(spark.createDataFrame(placed, "signature bigint, id bigint, `group` bigint"), "placed")
+    found = {}
+    for signature, x, y, i, g in jaccard.pieces(kept).collect():
+        assert g == groups[i]
+        found.setdefault((signature, x, y), []).append(i)
+    met = {(s, *sorted((a, b))) for (s, _, _), ids in found.items() for a in ids for b in ids}
+    assert {(7, a, b) for a in groups for b in range(a) if groups[a] != groups[b]} <= {(s, b, a) for s, a, b in met} and (9, 0, 200) in met
+    chunks = [-(-n // 4) for n in (200, apart)]
+    assert sum(len(ids) for (s, *_), ids in found.items() if s == 7) == 200 * chunks[1] + apart * (sum(chunks) - 1)
+    assert all(any(groups[i] for i in ids) for ids in found.values()) and {s for s, *_ in found} == {7, 9}
+
+
 def test_similar_documents_of_no_rows(spark, work):
     assert jaccard.similar_documents(spark, spark.createDataFrame([], "doc_id bigint, text string"), work).count() == 0
 
