@@ -7,6 +7,7 @@ links from the hosts that rules block. Only DataFrame functions are used.
 from __future__ import annotations
 
 import string
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +55,14 @@ def host_links(df: DataFrame, html: str = "html") -> DataFrame:
 
 
 def personalised_rank(
-    links: DataFrame, seeds: DataFrame, work: Workspace, name: str, damping: float = 0.85, steps: int = 30, tolerance: float = 1e-6
+    links: DataFrame, seeds: DataFrame, work: Workspace, name: str, damping: float = 0.85, tolerance: float = 1e-6
 ) -> DataFrame:
     """(host, rank) by power iteration from ``seeds`` (host, weight); the ranks add up to 1 at most.
 
     A host passes its rank along its links by their share. What hosts without links hold is
-    not passed on. Each step is written, so a lost executor repeats one step.
+    not passed on. Each step is written, so a lost executor repeats one step. What changes falls by
+    ``damping`` a step at least, so it ends, after about 100 steps with the values given, when all
+    later steps together would change less than ``tolerance``.
     """
     total = seeds.agg(F.sum("weight")).first()[0]
     start = seeds.select("host", (F.col("weight") / (total or 1.0)).alias("seed"))
@@ -69,7 +72,7 @@ def personalised_rank(
     rank = start.select("host", F.col("seed").alias("rank"))
     if shares.isEmpty() or not total:
         return rank
-    for step in range(steps):
+    for step in count():
         passed = rank.join(shares, F.col("host") == F.col("src")).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
         new = start.join(passed, F.col("host") == F.col("dst"), "full").select(
             F.coalesce("host", "dst").alias("host"),
@@ -81,9 +84,9 @@ def personalised_rank(
             F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("_r", F.lit(0.0))))
         ).first()[0]
         rank = new
-        if change is None or change < tolerance:
-            break
-    return rank
+        work.drop(f"{name}rank{step - 1}")
+        if change is None or change * damping < tolerance * (1 - damping):
+            return rank
 
 
 def judge_urls(

@@ -284,6 +284,19 @@ def test_url_rules_and_ranks(spark, work):
     assert urls.judge_urls(spark, df.limit(0), rules, work).count() == 0
 
 
+def test_ranks_of_a_cycle_and_a_long_chain(spark, work):
+    links = [(f"c{i}", f"c{i + 1}", 1) for i in range(40)] + [("x", "y", 1), ("y", "x", 2), ("y", "c0", 1)]
+    hosts = sorted({h for a, b, _ in links for h in (a, b)})
+    m, seed = np.zeros((len(hosts),) * 2), np.zeros(len(hosts))
+    for a, b, n in links:
+        m[hosts.index(b), hosts.index(a)] = n / sum(k for c, _, k in links if c == a)
+    seed[hosts.index("x")], seed[hosts.index("c0")] = 0.25, 0.75
+    want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * m, 0.15 * seed)
+    seeds = spark.createDataFrame([("x", 1.0), ("c0", 3.0)], "host string, weight double")
+    got = dict(map(tuple, urls.personalised_rank(spark.createDataFrame(links, "src string, dst string, n bigint"), seeds, work, "r").collect()))
+    assert [got[h] for h in hosts] == pytest.approx(want.tolist(), abs=1e-6)
+
+
 # --- vectors
 
 
