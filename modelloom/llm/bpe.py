@@ -121,15 +121,20 @@ class _Memo(dict):
         return b""
 
 
-def encoder(definition: str, pattern: str, memo: int = MEMO) -> Callable[[list], list[bytes]]:
-    """A function from texts to their ids, packed as little-endian unsigned 32-bit integers."""
+def encoder(definition: str, pattern: str, memo: int = MEMO, added: bool = False) -> Callable[[list], list[bytes]]:
+    """A function from texts to their ids, packed as little-endian unsigned 32-bit integers.
+
+    With ``added`` the definition's added tokens have their own ids where a text holds them, as the
+    library gives by default; else they are text like any other.
+    """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(definition)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added
+    names = [token.content for token in tokenizer.get_added_tokens_decoder().values()] if added else []
     split = fast_pattern(pattern).findall
     unusual = re.compile(f"[^\\x00-{chr(SAME_CLASSES_BELOW - 1)}]").search
     known = _Memo()
@@ -144,7 +149,7 @@ def encoder(definition: str, pattern: str, memo: int = MEMO) -> Callable[[list],
         for at in range(0, len(texts), 64):  # bounds the matches held at once
             part = [t or "" for t in texts[at:at + 64]]
             known.passing.clear()
-            rare = [i for i, t in enumerate(part) if not t.isascii() and unusual(t)]
+            rare = [i for i, t in enumerate(part) if any(n in t for n in names) or not t.isascii() and unusual(t)]
             whole = dict(zip(rare, packed([part[i] for i in rare])))
             pieces, ids = {}, []
             for i, t in enumerate(part):
@@ -170,10 +175,10 @@ def encoder(definition: str, pattern: str, memo: int = MEMO) -> Callable[[list],
     return encode
 
 
-def shared_encoder(definition: str, pattern: str) -> Callable[[list], list[bytes]]:
+def shared_encoder(definition: str, pattern: str, added: bool = False) -> Callable[[list], list[bytes]]:
     """The encoder of this worker process, with what it remembers from earlier tasks."""
-    token = hashlib.sha256(f"{pattern}\0{definition}".encode()).hexdigest()
-    return worker_state(token, lambda: encoder(definition, pattern))
+    token = hashlib.sha256(f"{pattern}\0{added}\0{definition}".encode()).hexdigest()
+    return worker_state(token, lambda: encoder(definition, pattern, added=added))
 
 
 def character_starts(text: str, lengths: np.ndarray) -> np.ndarray:

@@ -125,7 +125,7 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         definition = file.read()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, definition, public_tokenizers.PATTERN)
+    return packing.pack(docs, definition, public_tokenizers.PATTERN, added=True)
 
 
 @query("op10_jaccard")

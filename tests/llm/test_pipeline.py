@@ -1,11 +1,13 @@
 """The queries over the smallest tables, and the pipeline's stages."""
 
 import os
+import zlib
 
 import duckdb
+import numpy as np
 import pytest
 
-pytest.importorskip("public_tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
 from modelloom.llm import queries  # noqa: E402
@@ -39,6 +41,21 @@ def test_held_out_accuracy(spark):
     assert found.where("lang_pred = lang").count() >= 0.9 * found.count()
 
 
+def test_packed_ids_are_those_of_the_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  日本\n", "<|endoftext |> <|endoftext|", "plain <| text", "", None]
+    want = []
+    for i, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        want.append((i, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for packed in (queries.QUERIES["op9_packing"](spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, docs, "")):
+        assert sorted(map(tuple, packed.select("doc_id", "length", "ids_crc32").collect())) == want
+
+
 def test_stages_keep_the_columns(spark):
     text = lambda i: " ".join(f"word{i % 7}{k}x{(i * k) % 11}" for k in range(80 + i % 9)) + "."
     rows = [(i, text(i), "en", "s", 1, "mine") for i in range(60)] + [(60, text(1), None, None, None, None), (60, text(1), "en", "s", 1, "m"),
