@@ -1,5 +1,6 @@
 """The queries over the smallest tables, and the pipeline's stages."""
 
+import inspect
 import os
 import zlib
 
@@ -10,7 +11,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from modelloom.llm import queries  # noqa: E402
+from modelloom.llm import queries, repeats  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -71,6 +72,47 @@ def test_stages_keep_the_columns(spark):
     assert {r[0] for r in packed.select("doc_id").collect()} == {r[0] for r in docs.select("doc_id").collect()}
 
 
+def test_stages_against_plain_python(spark):
+    import hashlib
+    from collections import Counter
+
+    from test_operators import brute_components, brute_repeats, near_copies, words
+
+    passage = " ".join(words(7, 90, 5000))
+    texts = [" ".join([*words(100 + i, 70, 5000), passage[:300 + i] if i % 3 else "", *words(200 + i, 40, 5000)]) for i in range(30)]
+    texts += [t for t in near_copies(8) if len(t.split()) >= 60] + texts[:4]
+    rows = [(1000 - i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(5, "1 2 3", "en", "s", 5), (6, "too short", "en", "s", 9)]
+    rows += [rows[3], (None, texts[5], "en", "s", len(texts[5])), (None, None, "en", "s", None)]
+    docs, stages = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "").cache()
+        stages[name] = [tuple(r) for r in docs.collect()]
+    # the first two keep whole rows, as often as they come
+    assert not Counter(stages["language"]) - Counter(rows) and not Counter(stages["quality"]) - Counter(stages["language"])
+    assert {r[0] for r in rows} - {r[0] for r in stages["language"]} == {5} and 6 not in {r[0] for r in stages["quality"]}
+    # of each group the smallest id, once
+    least = {key for key, _, component in brute_components([r[:2] for r in stages["quality"] if r[0] is not None]) if key == component}
+    want = {r for r in stages["quality"] if r[0] in least}
+    assert 0 < len(want) == len(least) < len(stages["quality"])
+    assert Counter(stages["near_duplicates"]) == Counter(want) + Counter(r for r in stages["quality"] if r[0] is None)
+    # without what occurs twice
+    before, after = stages["near_duplicates"], stages["repeated_passages"]
+    removed = brute_repeats([r[1] for r in before], inspect.signature(repeats.repeated_passages).parameters["length"].default)
+    want = Counter((r[0], kept, r[4] - gone) for r, (_, gone, _, kept) in zip(before, removed))
+    assert Counter((r[0], hashlib.sha256(r[1].encode()).hexdigest(), r[4]) for r in after) == want and any(gone for _, gone, _, _ in removed)
+    # every id of what is left
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = Counter()
+    for r in corpus_pipeline.packing_stage(spark, docs, "").collect():
+        tokens[r["doc_id"]] += r["length"]
+    want = Counter()
+    for r in after:
+        want[r[0]] += len(library.encode(r[1], add_special_tokens=False).ids) + 1
+    assert tokens == want
+
+
 @needs_tables
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
