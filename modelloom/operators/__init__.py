@@ -20,6 +20,7 @@ from modelloom.operators.materialize import (
     time_limit,
 )
 from modelloom.operators.parallel import parallel_map, worker_resources
+from modelloom.operators.ranks import add_ranks, exact_quantiles, top_k
 from modelloom.operators.scoring import (
     churn_score,
     fit_centroids,
@@ -30,9 +31,9 @@ from modelloom.operators.scoring import (
 )
 
 __all__ = [
-    "append_table", "churn_score", "create_schema", "create_view", "drop", "embed_text",
-    "enrich", "fan_out", "fit_centroids", "kind_of", "lead_sentence", "logistic", "lookup",
+    "add_ranks", "append_table", "churn_score", "create_schema", "create_view", "drop", "embed_text",
+    "enrich", "exact_quantiles", "fan_out", "fit_centroids", "kind_of", "lead_sentence", "logistic", "lookup",
     "merge", "monte_carlo_pi", "nearest_centroid", "not_null", "order_activity",
     "parallel_map", "passed", "replace_table", "score_batches", "snapshot", "suite",
-    "ticket_prompt", "time_limit", "unique", "words", "worker_resources",
+    "ticket_prompt", "time_limit", "top_k", "unique", "words", "worker_resources",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from modelloom.errors import ConfigError
 
@@ -53,3 +53,35 @@ def scratch_schema(spark: SparkSession, label: str = "scratch") -> str:
     name = path.rsplit("/", 1)[1]
     spark.sql(f"create schema `{name}` location '{path}'")
     return name
+
+
+class Scratch:
+    """Tables written below the shared folder between jobs, dropped when their owner ends.
+
+    ``keep`` writes a frame and reads it back, which cuts its lineage and makes every later use
+    read the same rows. Used with ``with``, all tables go at its end; else ``close`` drops them.
+    """
+
+    def __init__(self, spark: SparkSession, label: str = "scratch"):
+        self.spark, self.label, self.paths = spark, label, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, f"{self.label}_{name}"))
+        return self.paths[-1]
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.clear()
