@@ -1,3 +1,4 @@
+from modelloom.operators.asof import asof_join
 from modelloom.operators.checks import not_null, passed, suite, unique
 from modelloom.operators.enrich import (
     embed_text,
@@ -8,6 +9,7 @@ from modelloom.operators.enrich import (
     words,
 )
 from modelloom.operators.fanout import fan_out, monte_carlo_pi
+from modelloom.operators.intervals import interval_join
 from modelloom.operators.joins import merge
 from modelloom.operators.materialize import (
     append_table,
@@ -31,8 +33,8 @@ from modelloom.operators.scoring import (
 )
 
 __all__ = [
-    "add_ranks", "append_table", "churn_score", "create_schema", "create_view", "drop", "embed_text",
-    "enrich", "exact_quantiles", "fan_out", "fit_centroids", "kind_of", "lead_sentence", "logistic", "lookup",
+    "add_ranks", "append_table", "asof_join", "churn_score", "create_schema", "create_view", "drop", "embed_text",
+    "enrich", "exact_quantiles", "fan_out", "fit_centroids", "interval_join", "kind_of", "lead_sentence", "logistic", "lookup",
     "merge", "monte_carlo_pi", "nearest_centroid", "not_null", "order_activity",
     "parallel_map", "passed", "replace_table", "score_batches", "snapshot", "suite",
     "ticket_prompt", "time_limit", "top_k", "unique", "words", "worker_resources",

@@ -143,35 +143,40 @@ def _plain(df: DataFrame, c: str) -> Column:
     return F.col(f"`{c}`") + F.lit(0).cast(kind) if kind in ("double", "float") else F.col(f"`{c}`")
 
 
+def run_starts(batch: pa.RecordBatch, before: pa.RecordBatch | None, names: Sequence[str]) -> np.ndarray:
+    """Which rows of a sorted batch differ in these columns from the row before them.
+
+    ``before`` is the last row of the batch before. Nulls are equal, and so is NaN.
+    """
+    n = batch.num_rows
+    changed = np.zeros(n, bool)
+    changed[0] = before is None
+    for name in names:
+        at = batch.schema.get_field_index(name)
+        values = batch.column(at)
+        if before is not None:
+            values = pa.concat_arrays([before.column(at), values])
+        now, was = values.slice(1), values.slice(0, len(values) - 1)
+        differ = pc.fill_null(pc.not_equal(now, was), False)
+        if pa.types.is_floating(values.type):
+            differ = pc.and_(differ, pc.invert(pc.fill_null(pc.and_(pc.is_nan(now), pc.is_nan(was)), False)))
+        nulls = pc.not_equal(pc.is_null(now), pc.is_null(was))
+        found = pc.or_(differ, nulls).to_numpy(zero_copy_only=False)
+        changed[n - len(found):] |= found
+    return changed
+
+
 def _numbering(by: list[str], order: list[str], counters: list[str]):
     """Number sorted rows of one task: position in the group, where its run of ties began, runs so far."""
 
-    def changes(batch: pa.RecordBatch, before: pa.RecordBatch | None, names: list[str]) -> np.ndarray:
-        n = batch.num_rows
-        changed = np.zeros(n, bool)
-        changed[0] = before is None
-        for name in names:
-            at = batch.schema.get_field_index(name)
-            values = batch.column(at)
-            if before is not None:
-                values = pa.concat_arrays([before.column(at), values])
-            now, was = values.slice(1), values.slice(0, len(values) - 1)
-            differ = pc.fill_null(pc.not_equal(now, was), False)
-            if pa.types.is_floating(values.type):  # NaN is one value
-                differ = pc.and_(differ, pc.invert(pc.fill_null(pc.and_(pc.is_nan(now), pc.is_nan(was)), False)))
-            nulls = pc.not_equal(pc.is_null(now), pc.is_null(was))
-            found = pc.or_(differ, nulls).to_numpy(zero_copy_only=False)
-            changed[n - len(found):] |= found
-        return changed
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, position, start, kinds = None, 0, 0, 0
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            group = changes(batch, before, by)
-            tie = changes(batch, before, order) | group
+            group = run_starts(batch, before, by)
+            tie = run_starts(batch, before, order) | group
             index = np.arange(n)
             origin = np.maximum.accumulate(np.where(group, index, -1))  # first row of the group in this batch
             positions = np.where(origin >= 0, index - origin + 1, position + index + 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modelloom.operators import add_ranks, exact_quantiles, top_k
+from modelloom.operators import add_ranks, asof_join, exact_quantiles, interval_join, top_k
 from modelloom.shared import Scratch
 from showcase.registry import query, read
 
@@ -53,3 +53,67 @@ def rank_whole_table(spark, sf_dir):
     """One group: the whole table in one order, still over all tasks."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return add_ranks(orders, "o_orderdate", scratch=Scratch(spark, "rank_whole_table")).drop("position", "dense_rank")
+
+
+# --- as-of and interval joins -------------------------------------------------------
+
+
+@query("join_asof", """
+    with m as (
+      select event_id, o_orderkey, o_orderdate, row_number() over (partition by event_id order by o_orderdate desc, o_orderkey desc) as place
+      from events join orders on o_custkey = user_id and o_orderdate <= ts
+    )
+    select e.event_id, e.user_id, e.ts, m.o_orderkey, m.o_orderdate
+    from events e left join m on m.event_id = e.event_id and place = 1""")
+def join_asof(spark, sf_dir):
+    """Every event with its customer's latest order."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    found = asof_join(
+        events, orders, ("ts", "o_orderdate"), by=[("user_id", "o_custkey")], prefer="o_orderkey", scratch=Scratch(spark, "join_asof"),
+    )
+    return found.drop("o_custkey")
+
+
+@query("join_asof_forward", """
+    with r as (select distinct l_suppkey, l_shipdate from lineitem where l_returnflag = 'R')
+    select l.l_orderkey, l.l_linenumber, l.l_shipdate,
+      (select min(r.l_shipdate) from r where r.l_suppkey = l.l_suppkey and r.l_shipdate > l.l_shipdate
+        and r.l_shipdate <= l.l_shipdate + interval 3 day) as next_returned
+    from lineitem l""")
+def join_asof_forward(spark, sf_dir):
+    """Every line with the date of the supplier's next returned one, if it is within three days."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag")
+    returned = lines.where("l_returnflag = 'R'").select("l_suppkey", F.col("l_shipdate").alias("next_returned"))
+    found = asof_join(
+        lines, returned, ("l_shipdate", "next_returned"), by="l_suppkey", direction="forward", exact=False,
+        tolerance=F.expr("interval 3 days"), scratch=Scratch(spark, "join_asof_forward"),
+    )
+    return found.select("l_orderkey", "l_linenumber", "l_shipdate", "next_returned")
+
+
+PERIODS = """
+    l as (select l_suppkey, l_orderkey, l_linenumber, l_shipdate as since, l_shipdate + to_days(cast(l_quantity as int)) as until, l_returnflag from lineitem)"""
+
+
+@query("join_interval", f"""
+    with {PERIODS}
+    select a.l_suppkey, a.l_orderkey, a.l_linenumber, a.since, a.until, b.l_orderkey as open_orderkey, b.l_linenumber as open_linenumber,
+      b.since as open_since, b.until as open_until
+    from l a join l b on a.l_suppkey = b.l_suppkey and a.since < b.until and b.since < a.until
+    where a.l_returnflag = 'R' and b.l_returnflag = 'N'""")
+def join_interval(spark, sf_dir):
+    """Returned and open lines of a supplier that were under way at the same time, a day per piece."""
+    lines = read(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("since"),
+        (F.col("l_shipdate") + F.make_dt_interval(F.col("l_quantity").cast("int"))).alias("until"), "l_returnflag",
+    )
+    returned = lines.where("l_returnflag = 'R'").drop("l_returnflag")
+    still_open = lines.where("l_returnflag = 'N'").select(
+        "l_suppkey", F.col("l_orderkey").alias("open_orderkey"), F.col("l_linenumber").alias("open_linenumber"),
+        F.col("since").alias("open_since"), F.col("until").alias("open_until"),
+    )
+    met = interval_join(
+        returned, still_open, ("since", "until"), ("open_since", "open_until"), by="l_suppkey", scratch=Scratch(spark, "join_interval"),
+    )
+    return met.drop("l_suppkey_right")
