@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import threading
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 from modelloom.errors import ConfigError, ModelTimeout, ResultError
+from modelloom.shared import Scratch
 from modelloom.sources import RelationName, relation_name
 
 Name = str | RelationName
@@ -19,6 +22,11 @@ Name = str | RelationName
 # table formats whose catalogs replace a table in one transaction
 TRANSACTIONAL = ("delta", "iceberg")
 HISTORY_PART = "history_part"
+# properties by which a backup, and a snapshot's prepared parts, are known
+BACKUP_OF, BACKUP_AT = "modelloom.backup_of", "modelloom.backup_at"
+PREPARED_AS_OF, PREPARED_PARTS = "modelloom.prepared_as_of", "modelloom.prepared_parts"
+#: Bytes of open rows that a part of a new history table is meant to hold, and most parts.
+PART_BYTES, MOST_PARTS = 32 << 20, 4096
 
 
 def kind_of(spark: SparkSession, name: Name) -> str | None:
@@ -52,13 +60,42 @@ def create_view(spark: SparkSession, name: Name, query: str) -> None:
 
 
 def recover(spark: SparkSession, name: Name) -> None:
-    """Give a table its name back if a run died between the two renames that replace it."""
+    """Give a table its name back if a run died between the two renames that replace it.
+
+    Only tables that ``replace_table`` has marked as backups of this one are touched, whatever
+    others are called. If the table is missing the newest of them becomes it; the rest are
+    what earlier runs left behind, and dropped.
+    """
     target = relation_name(name)
-    if kind_of(spark, target) is not None or (target.schema and not spark.catalog.databaseExists(target.schema.sql())):
+    if target.schema and not spark.catalog.databaseExists(target.schema.sql()):
         return
-    tables = spark.catalog.listTables(target.schema.sql() if target.schema else None, f"{target.table}__bak_*")
-    for kept in [target.sibling(t.name[len(target.table):]) for t in tables if not t.isTemporary][:1]:
-        _rename(spark, kind_of(spark, kept), kept, target)
+    start = f"{target.table}__bak_"
+    listed = spark.catalog.listTables(target.schema.sql() if target.schema else None, f"{target.table}__bak_*")
+    marked = []
+    for t in listed:
+        if t.isTemporary or not t.name.lower().startswith(start.lower()):
+            continue
+        kept = target.sibling(t.name[len(target.table):])
+        told = {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {kept.sql()}").collect()}
+        if told.get(BACKUP_OF) == target.table:
+            marked.append((int(told[BACKUP_AT]), t.name, kept))
+    for _, _, kept in sorted(marked, reverse=True):
+        if kind_of(spark, target) is None:
+            kind = kind_of(spark, kept)
+            _rename(spark, kind, kept, target)
+            _unmark(spark, kind, target)
+        else:
+            drop(spark, kept)
+
+
+def _mark(spark: SparkSession, kind: str, target: RelationName) -> None:
+    """Note on a table or view that it is about to become a backup, and when."""
+    name = target.table.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"alter {kind} {target.sql()} set tblproperties ('{BACKUP_OF}' = '{name}', '{BACKUP_AT}' = '{time.time_ns()}')")
+
+
+def _unmark(spark: SparkSession, kind: str, target: RelationName) -> None:
+    spark.sql(f"alter {kind} {target.sql()} unset tblproperties if exists ('{BACKUP_OF}', '{BACKUP_AT}')")
 
 
 def partition_columns(spark: SparkSession, name: Name) -> list[str]:
@@ -107,12 +144,14 @@ def replace_table(
         with time_limit(spark, timeout_s, target.table):
             rows = _save(df, staging, "error", format, partition_by)
         if before:
+            _mark(spark, before, target)
             _rename(spark, before, target, backup)
         try:
             _rename(spark, "table", staging, target)
         except Exception:
             if before:
                 _rename(spark, before, backup, target)
+                _unmark(spark, before, target)
             raise
         drop(spark, backup)
     finally:
@@ -218,11 +257,11 @@ def time_limit(spark: SparkSession, seconds: float | None, label: str) -> Iterat
         sc.removeJobTag(tag)
 
 
-def _micros(time: Column, kind: DataType) -> Column:
+def _micros(at: Column, kind: DataType) -> Column:
     """Microseconds since 1970, whatever the session's time zone."""
     if isinstance(kind, TimestampType):
-        return F.unix_micros(time)
-    return F.unix_micros(F.concat(time.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp"))
+        return F.unix_micros(at)
+    return F.unix_micros(F.concat(at.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp"))
 
 
 def snapshot(
@@ -231,7 +270,7 @@ def snapshot(
     key: str,
     as_of: Column,
     *,
-    buckets: int = 64,
+    buckets: int | None = None,
     timeout_s: float | None = None,
 ) -> int:
     """Keep the history of a table: one row per state of a key, open while it lasts.
@@ -242,9 +281,12 @@ def snapshot(
     nothing is written. A key that ``df`` repeats fails the job.
 
     The table is partitioned by ``history_part``: open rows lie in ``buckets``
-    parts by key, the rows a run closed in a part of that run. A run rewrites
-    the open parts in which something changed and adds one; returns the rows
-    written. ``buckets`` may differ between runs: known keys stay in their part.
+    parts by key (by default as many as the first state's size asks for, later as
+    many as there are), the rows a run closed in a part of that run. A run first
+    prepares all parts that change in a table of its own and then replaces them
+    one by one. If it dies in between, the next run finishes that first, whatever
+    its ``as_of``; repeated with the same one, it has nothing left to do. Returns
+    the rows written. Known keys stay in their part if ``buckets`` changes.
     """
     spark = df.sparkSession
     target = relation_name(name)
@@ -257,16 +299,21 @@ def snapshot(
     )
     twice = F.raise_error(F.concat(F.lit("snapshot: repeated key "), F.coalesce(F.col("_is_key").cast("string"), F.lit("null"))))
     once = once.select("_is_key", F.when(F.col("_n") > 1, twice).otherwise(F.col("_is")).alias("_is"))
-    home = F.concat(F.lit("open-"), F.pmod(F.xxhash64("_is_key"), F.lit(buckets)).cast("string"))
+
+    def home(parts: int) -> Column:
+        return F.concat(F.lit("open-"), F.pmod(F.xxhash64("_is_key"), F.lit(parts)).cast("string"))
+
     if kind_of(spark, target) is None:
-        first = once.select("_is.*", as_of.alias("valid_from"), home.alias(HISTORY_PART))
-        if not isinstance(first.schema["valid_from"].dataType, (TimestampType, TimestampNTZType, DateType)):
+        first = once.select("_is_key", "_is", as_of.alias("valid_from"))
+        kind = first.schema["valid_from"].dataType
+        if not isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
             raise ConfigError("as_of must be a date or a timestamp")
-        still_open = F.lit(None).cast(first.schema["valid_from"].dataType)
-        return append_table(
-            first.withColumn("valid_to", still_open), target,
-            partition_by=[HISTORY_PART], timeout_s=timeout_s,
-        )
+        with Scratch(spark, "snapshot") as scratch, time_limit(spark, timeout_s, target.table):
+            if buckets is None:  # the size is known once the rows are written
+                first = scratch.keep(first, "first")
+                buckets = min(max(1, -(-scratch.size() // PART_BYTES)), MOST_PARTS)
+            rows = first.select("_is.*", "valid_from", F.lit(None).cast(kind).alias("valid_to"), home(buckets).alias(HISTORY_PART))
+            return append_table(rows.hint("rebalance", HISTORY_PART), target, partition_by=[HISTORY_PART])
 
     history = spark.table(target.sql())
     columns = [c for c in history.columns if c not in ("valid_from", "valid_to", HISTORY_PART)]
@@ -274,55 +321,76 @@ def snapshot(
         raise ResultError(f"columns differ from those of the history {target.dotted()}")
     time_type = history.schema["valid_from"].dataType
     now, still_open = as_of.cast(time_type), F.lit(None).cast(time_type)
+    asked = spark.range(1).select(_micros(now, time_type).alias("at"), now.cast("string").alias("text")).first()
+    prepared = target.sibling("__snapshot")
+    with time_limit(spark, timeout_s, target.table):
+        finished = _finish(spark, prepared, target)
+    if finished is not None and finished[0] == asked["at"]:
+        return finished[1]
+    history = spark.table(target.sql())
     current = history.where(F.col(HISTORY_PART).startswith("open-"))
 
     # the last run's time is the newest of the open rows' and of the closed parts' names
-    closed = spark.sql(f"show partitions {target.sql()}").select(F.regexp_extract("partition", "=closed-(-?[0-9]+)$", 1).alias("at"))
-    ended = closed.where("at <> ''").agg(F.max(F.col("at").cast("bigint")).alias("at"))
-    times = current.agg(F.max("valid_from").alias("from")).select(_micros(F.col("from"), time_type).alias("at")).unionAll(ended)
-    latest = times.agg(F.max("at").alias("last")).select("last", _micros(now, time_type).alias("now"), now.cast("string").alias("as_of")).first()
-    if latest["now"] is None or (latest["last"] is not None and latest["now"] <= latest["last"]):
-        raise ConfigError(f"as_of {latest['as_of']} is not later than the last run of {target.dotted()}")
-    ending = F.lit(f"closed-{latest['now']}")
+    parts = [r["partition"].split("=", 1)[1] for r in spark.sql(f"show partitions {target.sql()}").collect()]
+    ended = [int(p.removeprefix("closed-")) for p in parts if p.startswith("closed-")]
+    latest = current.agg(F.max("valid_from").alias("from")).select(_micros(F.col("from"), time_type)).first()[0]
+    last = max([*ended, *([] if latest is None else [latest])], default=None)
+    if asked["at"] is None or (last is not None and asked["at"] <= last):
+        raise ConfigError(f"as_of {asked['text']} is not later than the last run of {target.dotted()}")
+    ending = f"closed-{asked['at']}"
+    if buckets is None:
+        buckets = max([int(p.removeprefix("open-")) + 1 for p in parts if p.startswith("open-")], default=1)
 
     was = current.select(
         F.col(key).alias("_was_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_was"), "valid_from", HISTORY_PART
     )
     now_is = once.select("_is_key", F.struct(*[F.col("_is").getField(c).alias(c) for c in columns]).alias("_is"))
     both = was.join(now_is, F.col("_was_key").eqNullSafe(F.col("_is_key")), "full_outer")
-    home = F.coalesce(F.col(HISTORY_PART), home)
+    place = F.coalesce(F.col(HISTORY_PART), home(buckets))
+    same = F.col("_was").eqNullSafe(F.col("_is"))
     versions = F.array_compact(F.array(
         F.when(F.col("_was").isNotNull(), F.struct(
-            F.col("_was").alias("row"), F.col("valid_from").alias("since"), now.alias("until"), ending.alias("part"),
+            F.col("_was").alias("row"), F.col("valid_from").alias("since"), now.alias("until"), F.lit(ending).alias("part"),
         )),
         F.when(F.col("_is").isNotNull(), F.struct(
-            F.col("_is").alias("row"), now.alias("since"), still_open.alias("until"), home.alias("part"),
+            F.col("_is").alias("row"), now.alias("since"), still_open.alias("until"), place.alias("part"),
         )),
     ))
-    changed = both.where(~F.col("_was").eqNullSafe(F.col("_is"))).select(home.alias("_home"), F.explode(versions).alias("v"))
-    changed = changed.select(
+    # one join gives the changes; they are written down, then the whole rows of the parts they touch
+    changed = both.where(~same).select(place.alias("_home"), F.explode(versions).alias("v")).select(
         "v.row.*", F.col("v.since").alias("valid_from"), F.col("v.until").alias("valid_to"),
         F.col("v.part").alias(HISTORY_PART), "_home",
     )
-    # the changes are written down first, then the whole rows of the parts they touch, since a
-    # table cannot be overwritten while it is read; at last just those parts are replaced
-    mark = uuid.uuid4().hex[:8]
-    changes, staging = target.sibling(f"__chg_{mark}"), target.sibling(f"__stg_{mark}")
-    try:
-        with time_limit(spark, timeout_s, target.table):
-            if not _save(changed, changes, "error", "parquet"):
-                return 0
-            new = spark.table(changes.sql())
-            touched = {r["_home"] for r in new.select("_home").distinct().collect()}  # open parts: few
-            gone = new.where(F.col(HISTORY_PART) == ending).select(F.col(key).alias("_gone"))
-            left = history.where(F.col(HISTORY_PART).isin(*touched))
-            left = left.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
-            rows = _save(left.unionByName(new.drop("_home")).select(*history.columns), staging, "error", "parquet")
-            overwrite_partitions(spark, staging, target)
-            filled = {r[0] for r in spark.table(staging.sql()).select(HISTORY_PART).distinct().collect()}
-            for part in sorted(touched - filled):  # all keys have vanished, so nothing has replaced them
-                spark.sql(f"alter table {target.sql()} drop if exists partition ({HISTORY_PART} = '{part}')")
-    finally:
-        drop(spark, staging)
-        drop(spark, changes)
-    return rows
+    with Scratch(spark, "snapshot") as scratch, time_limit(spark, timeout_s, target.table):
+        new = scratch.keep(changed, "changes")
+        touched = sorted(r["_home"] for r in new.select("_home").distinct().collect())  # open parts: few
+        if not touched:
+            return 0
+        gone = new.where(F.col(HISTORY_PART) == ending).select(F.col(key).alias("_gone"))
+        left = history.where(F.col(HISTORY_PART).isin(*touched))
+        left = left.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+        whole = left.unionByName(new.drop("_home")).select(*history.columns)
+        _save(whole, prepared, "error", "parquet")
+        spark.sql(
+            f"alter table {prepared.sql()} set tblproperties ('{PREPARED_AS_OF}' = '{asked['at']}', '{PREPARED_PARTS}' = '{json.dumps(touched)}')"
+        )
+        return _finish(spark, prepared, target)[1]
+
+
+def _finish(spark: SparkSession, prepared: RelationName, target: RelationName) -> tuple[int, int] | None:
+    """Replace the parts that a snapshot has prepared; its time and rows, or None if there are none.
+
+    A prepared table without its mark was not written to the end, and nothing was replaced yet.
+    """
+    if kind_of(spark, prepared) is None:
+        return None
+    told = {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {prepared.sql()}").collect()}
+    if PREPARED_AS_OF not in told:
+        drop(spark, prepared)
+        return None
+    overwrite_partitions(spark, prepared, target)
+    filled = spark.table(prepared.sql()).groupBy(HISTORY_PART).count().collect()
+    for part in sorted(set(json.loads(told[PREPARED_PARTS])) - {r[0] for r in filled}):  # all keys have vanished
+        spark.sql(f"alter table {target.sql()} drop if exists partition ({HISTORY_PART} = '{part}')")
+    drop(spark, prepared)
+    return int(told[PREPARED_AS_OF]), sum(r["count"] for r in filled)

@@ -80,8 +80,16 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def size(self) -> int:
+        """Bytes of all tables."""
+        return sum(fs.getContentSummary(place).getLength() for fs, place in map(self._place, self.paths))
+
     def close(self) -> None:
         for path in self.paths:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+            fs, place = self._place(path)
+            fs.delete(place, True)
         self.paths.clear()
+
+    def _place(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place

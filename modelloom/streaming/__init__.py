@@ -1,3 +1,3 @@
-from modelloom.streaming.incremental import BATCH_COLUMN, append_stream, stream_files
+from modelloom.streaming.incremental import append_stream, stream_files
 
-__all__ = ["BATCH_COLUMN", "append_stream", "stream_files"]
+__all__ = ["append_stream", "stream_files"]

@@ -19,7 +19,8 @@ from modelloom.operators import (
 )
 from modelloom.plans import Project, only_new, report
 from modelloom.shared import scratch_path, shared_dir
-from modelloom.sources import read_relation
+from modelloom.operators import materialize
+from modelloom.sources import read_relation, relation_name
 from modelloom.streaming import append_stream, stream_files
 
 
@@ -250,12 +251,76 @@ def test_a_run_that_died_between_renames(spark, schema):
     project = Project(schema)
     project.sql_model("m", "select 2 as x", materialized="incremental")
     replace_table(spark.sql("select 1 as x"), name)
+    materialize._mark(spark, "table", relation_name(name))
     spark.sql(f"alter table {name} rename to {schema}.m__bak_0123abcd")
     project.run(spark)  # adds to what was there
     assert sorted(r.x for r in spark.table(name).collect()) == [1, 2]
     assert tables(spark, schema) == ["m"]
 
 
+def test_other_tables_with_such_names_stay(spark, schema):
+    append_table(numbers(spark, 1, 2, 3, 4, 5), f"{schema}.orders__bak_2024")
+    append_table(numbers(spark, *range(7)), f"{schema}.sales__bak_jan")
+    replace_table(numbers(spark, 10), f"{schema}.orders")
+    replace_table(numbers(spark, 11), f"{schema}.orders")
+    project = Project(schema)
+    project.sql_model("sales", "select 1L as x", materialized="incremental")
+    project.run(spark)
+    assert spark.table(f"{schema}.sales").count() == 1 and spark.table(f"{schema}.orders").first()[0] == 11
+    assert spark.table(f"{schema}.orders__bak_2024").count() == 5 and spark.table(f"{schema}.sales__bak_jan").count() == 7
+    assert tables(spark, schema) == ["orders", "orders__bak_2024", "sales", "sales__bak_jan"]
+
+
+def test_the_newest_backup_comes_back_and_stale_ones_go(spark, schema):
+    target = relation_name(f"{schema}.t")
+    for mark, value in (("b_stale", 1), ("a_newest", 3)):
+        append_table(numbers(spark, *range(value)), target)
+        materialize._mark(spark, "table", target)
+        spark.sql(f"alter table {target.sql()} rename to {schema}.t__bak_{mark}")
+    materialize.recover(spark, target)
+    assert spark.table(f"{schema}.t").count() == 3 and tables(spark, schema) == ["t"]
+    # left behind beside a table that is there
+    append_table(numbers(spark, 9), f"{schema}.u")
+    materialize._mark(spark, "table", relation_name(f"{schema}.u"))
+    spark.sql(f"alter table {schema}.u rename to {schema}.u__bak_1")
+    append_table(numbers(spark, 8), f"{schema}.u")
+    replace_table(numbers(spark, 7), f"{schema}.u")
+    assert tables(spark, schema) == ["t", "u"] and spark.table(f"{schema}.u").first()[0] == 7
+
+
+def test_a_snapshot_that_died_is_finished(spark, schema, monkeypatch):
+    name = f"{schema}.h"
+    states = [spark.createDataFrame([(i, f"{i % (7 + v)}") for i in range(v, 200)], "k int, v string") for v in range(4)]
+    for other in ("h", "whole"):
+        snapshot(states[0], f"{schema}.{other}", "k", at("2024-01-01"), buckets=6)
+    for state, when in zip(states[1:], ("2024-02-01", "2024-03-01", "2024-04-01")):
+        snapshot(state, f"{schema}.whole", "k", at(when))
+    swap = materialize.overwrite_partitions
+
+    def half(spark, rows, target):  # dies after some of the parts
+        some = relation_name(f"{schema}.some")
+        spark.table(rows.sql()).where("history_part in ('open-0', 'open-3')").write.saveAsTable(some.sql())
+        swap(spark, some, target)
+        drop(spark, some)
+        raise OSError("lost")
+
+    for repeated in ("2024-02-01", "2024-02-01"):
+        monkeypatch.setattr(materialize, "overwrite_partitions", half)
+        with pytest.raises(OSError):
+            snapshot(states[1], name, "k", at(repeated))
+    monkeypatch.setattr(materialize, "overwrite_partitions", swap)
+    assert snapshot(states[1], name, "k", at("2024-02-01")) > 0  # the same run again
+    monkeypatch.setattr(materialize, "overwrite_partitions", half)
+    with pytest.raises(OSError):
+        snapshot(states[2], name, "k", at("2024-03-01"))
+    monkeypatch.setattr(materialize, "overwrite_partitions", swap)
+    snapshot(states[3], name, "k", at("2024-04-01"))  # finishes the one before, too
+    order = ["k", "v", "valid_from", "valid_to"]
+    assert spark.table(name).select(order).exceptAll(spark.table(f"{schema}.whole").select(order)).isEmpty()
+    assert spark.table(name).count() == spark.table(f"{schema}.whole").count()
+    assert tables(spark, schema) == ["h", "whole"]
+
+
 def test_partitions_stay(spark, schema):
     name = f"{schema}.parts"
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, p string")
@@ -609,7 +674,10 @@ def test_stream_appends_only_new_files(spark, schema):
 
     first = run()
     assert sorted(r.id for r in first.collect()) == list(range(100))
-    assert first.select("batch_id").distinct().count() == 3
+    assert first.columns == ["id"]
+    append_table(spark.range(500, 502), name)  # the table takes other rows, too
+    assert spark.table(name).where("id >= 500").count() == 2
+    replace_table(spark.table(name).where("id < 500"), name)
     assert run().count() == 100
     spark.range(100, 110).coalesce(1).write.mode("append").parquet(folder)
     assert sorted(r.id for r in run().collect()) == list(range(110))
@@ -634,6 +702,36 @@ def test_repeated_batch_does_not_double(spark, schema):
     assert sorted(r.id for r in spark.table(name).collect()) == list(range(30))
 
 
+def test_a_batch_that_died_while_its_files_were_moved(spark, schema, monkeypatch):
+    from modelloom.streaming.incremental import FileTable
+
+    folder, checkpoint, name = scratch_path(spark), scratch_path(spark), f"{schema}.t"
+    spark.range(0, 40, numPartitions=4).selectExpr("id", "id % 2 as p").write.parquet(folder)
+    stream = lambda: stream_files(spark, folder, "id bigint, p bigint", max_files=2)
+    move, lost = FileTable._move, []
+
+    def half(self, fs, paths, staged, stamp):
+        if not lost:  # the first file only
+            one = next(f for f in (found.next().getPath() for found in [fs.listFiles(staged, True)] for _ in range(9) if found.hasNext()) if f.getName()[0] not in "_.")
+            home = paths(f"{self.location}/{one.getParent().getName()}")
+            fs.mkdirs(home)
+            lost.append(fs.rename(one, paths(home, f"{stamp}-{one.getName()}")))
+            raise OSError("lost")
+        move(self, fs, paths, staged, stamp)
+
+    monkeypatch.setattr(FileTable, "_move", half)
+    with pytest.raises(Exception):
+        append_stream(stream(), name, checkpoint, partition_by=["p"])
+    append_stream(stream(), name, checkpoint)
+    assert lost == [True] and sorted(r.id for r in spark.table(name).collect()) == list(range(40))
+    assert {r.partition for r in spark.sql(f"show partitions {name}").collect()} == {"p=0", "p=1"}
+    spark.range(40, 50, numPartitions=1).selectExpr("id", "id % 3 as p").write.mode("append").parquet(folder)
+    append_stream(stream(), name, checkpoint)
+    assert sorted(map(tuple, spark.table(name).collect())) == sorted([(i, i % 2) for i in range(40)] + [(i, i % 3) for i in range(40, 50)])
+    with pytest.raises(ConfigError):
+        append_stream(stream(), f"{schema}.other", checkpoint, format="delta")
+
+
 def test_two_streams_into_one_table(spark, schema):
     name = f"{schema}.t"
     for start in (0, 10):
