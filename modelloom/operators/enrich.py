@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import and_
@@ -9,15 +11,20 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from modelloom.errors import ConfigError
+from modelloom.errors import ConfigError, ResultError
 from modelloom.functions import free_name, json_fields
 from modelloom.operators.parallel import ERROR_COLUMN, parallel_map
-from modelloom.shared import task_count
+from modelloom.shared import Scratch, task_count
+
+#: Words whose places a task remembers.
+REMEMBERED_WORDS = 100_000
+_WORD = re.compile("[^ \t\r\n]+")
 
 
 def ticket_prompt(subject: Column, body: Column) -> Column:
@@ -84,6 +91,7 @@ def lookup(
     on_error: str = "fail",
     resources: ResourceProfile | None = None,
     batch_size: int | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Ask an outside service once per distinct key and join the answers back.
 
@@ -93,13 +101,16 @@ def lookup(
     Duplicates are removed map-side first, so a key that fills a third of the
     table costs one call; the calls are spread over many tasks, ``workers`` at
     most. Rows with a null key get null answers. The join keeps every row and
-    may be split by adaptive skew handling on the row side. ``df`` is read
-    twice: store it first if it is expensive. Columns of ``df`` with the name
-    of an answer are replaced.
+    may be split by adaptive skew handling on the row side. ``df`` is needed
+    twice: with a ``scratch`` it is computed once and stored there, without one
+    it is computed twice, which suits a plain scan. Columns of ``df`` with the
+    name of an answer are replaced.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not keys:
         raise ConfigError("lookup needs at least one key column")
+    if scratch is not None:
+        df = scratch.keep(df, "lookup")
     present = reduce(and_, [F.col(k).isNotNull() for k in keys])
     distinct = df.where(present).select(*keys).distinct()
     answers = parallel_map(
@@ -130,29 +141,62 @@ def embed_text(
     text: str,
     *,
     dim: int = 64,
+    place: Callable[[str], int | None] | None = None,
     bucket: Callable[[Column], Column] | None = None,
     out: str = "embedding",
 ) -> DataFrame:
     """Add a hashed bag of words: one unit-length vector of ``dim`` per row.
 
-    ``bucket`` gives a word's place, 0 to ``dim - 1``; a null counts as 0. A text
-    without words gets zeros. The places are found in the JVM and counted in
-    Arrow batches beside the row, so nothing is shuffled, all columns stay and
-    rows that repeat a key are independent.
+    ``place`` gives a word's place, 0 to ``dim - 1`` (others fail the job; None
+    counts as 0); without one it is a hash of the word. ``bucket`` does the same
+    by a column expression, which is slower. A text without words gets zeros.
+    Words are counted in Arrow batches beside the row, so nothing is shuffled,
+    all columns stay and rows that repeat a key are independent.
     """
-    place = bucket or (lambda word: F.pmod(F.xxhash64(word), F.lit(dim)))
-    found = F.filter(words(F.col(f"`{text}`")), lambda word: word != "")
-    places = F.transform(found, lambda word: F.coalesce(place(word).cast("int"), F.lit(0)))
-
-    def count(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    if place is not None and bucket is not None:
+        raise ConfigError("give place or bucket, not both")
+
+    def checked(found: int | None, word: str) -> int:
+        if found is not None and not 0 <= found < dim:
+            raise ResultError(f"bucket {found} of {word!r} is not in 0 to {dim - 1}")
+        return int(found or 0)
+
+    def place_of(word: str) -> int:
+        if place is not None:
+            return checked(place(word), word)
+        found = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42)
+        return (found - (found >> 63 << 64)) % dim  # as a signed number
+
+    def unit(counts: np.ndarray) -> pa.Array:
+        norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True).astype(float))
+        values = counts / np.where(norm > 0, norm, 1.0)
+        offsets = np.arange(len(counts) + 1, dtype=np.int32) * dim
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+
+    def count_words(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        places: dict[str, int] = {}
         for part in parts:
-            lengths = np.diff(part.offsets.to_numpy())
-            slots = np.repeat(np.arange(len(part)), lengths) * dim + part.flatten().to_numpy(zero_copy_only=False)
-            counts = np.bincount(slots, minlength=len(part) * dim).reshape(len(part), dim)
-            norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True).astype(float))
-            values = counts / np.where(norm > 0, norm, 1.0)
-            offsets = np.arange(len(part) + 1, dtype=np.int32) * dim
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
-
-    vector = F.arrow_udf(count, "array<double>")
-    return df.withColumn(out, vector(F.coalesce(places, F.array().cast("array<int>"))))
+            counts = np.zeros((len(part), dim))
+            for row, value in zip(counts, part.to_pylist()):
+                for word, n in Counter(_WORD.findall(value or "")).items():
+                    at = places.get(word)
+                    if at is None:
+                        if len(places) >= REMEMBERED_WORDS:
+                            places.clear()
+                        at = places[word] = place_of(word)
+                    row[at] += n
+            yield unit(counts)
+
+    def count_places(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            lengths, found = np.diff(part.offsets.to_numpy()), part.flatten().to_numpy(zero_copy_only=False)
+            if len(found) and (found.min() < 0 or found.max() >= dim):
+                raise ResultError(f"bucket {found[(found < 0) | (found >= dim)][0]} is not in 0 to {dim - 1}")
+            slots = np.repeat(np.arange(len(part)), lengths) * dim + found
+            yield unit(np.bincount(slots, minlength=len(part) * dim).reshape(len(part), dim))
+
+    if bucket is None:
+        return df.withColumn(out, F.arrow_udf(count_words, "array<double>")(F.col(f"`{text}`")))
+    found = F.filter(words(F.col(f"`{text}`")), lambda word: word != "")
+    places = F.transform(found, lambda word: F.coalesce(bucket(word).cast("int"), F.lit(0)))
+    return df.withColumn(out, F.arrow_udf(count_places, "array<double>")(F.coalesce(places, F.array().cast("array<int>"))))

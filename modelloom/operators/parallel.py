@@ -104,10 +104,14 @@ def parallel_map(
     if len(set(df.columns)) != len(df.columns):
         raise ConfigError("the input has two columns of one name; rename one first")
 
+    exact = str(df.sparkSession.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+    fold = str if exact else str.lower  # names are the same if the session takes them for the same
     added = _parse(adds) if adds else StructType([])
-    result = _parse(schema) if schema is not None else _with_fields(df.schema, added)
+    if len({fold(n) for n in added.fieldNames()}) != len(added.fields):
+        raise ConfigError("the map adds two columns of one name")
+    result = _parse(schema) if schema is not None else _with_fields(df.schema, added, fold)
     keep_errors = on_error == "column"
-    if keep_errors and ERROR_COLUMN in result.fieldNames():
+    if keep_errors and fold(ERROR_COLUMN) in {fold(n) for n in result.fieldNames()}:
         raise ConfigError(f"on_error='column' needs the name `{ERROR_COLUMN}` for itself")
 
     large = df.sparkSession.conf.get("spark.sql.execution.arrow.useLargeVarTypes", "false")
@@ -149,11 +153,11 @@ def _parse(schema: str | StructType) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
-def _with_fields(base: StructType, added: StructType) -> StructType:
-    """``added`` behind ``base``; a field of the same name is replaced in place."""
-    by_name = {f.name: f for f in added.fields}
-    kept = [by_name.get(f.name, f) for f in base.fields]
-    new = [f for f in added.fields if f.name not in set(base.fieldNames())]
+def _with_fields(base: StructType, added: StructType, fold: Callable[[str], str]) -> StructType:
+    """``added`` behind ``base``; a field of the same folded name is replaced in place."""
+    by_name = {fold(f.name): f for f in added.fields}
+    kept = [by_name.get(fold(f.name), f) for f in base.fields]
+    new = [f for f in added.fields if fold(f.name) not in {fold(n) for n in base.fieldNames()}]
     return StructType([StructField(f.name, f.dataType, True) for f in kept + new])
 
 
@@ -416,14 +420,15 @@ def _chunk_task(
     return task
 
 
-# whole numbers stay whole beside nulls, in every batch alike
-_WHOLE = {
+# whole numbers stay whole beside nulls, and a null is not NaN, in every batch alike
+_NULLABLE = {
     pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype(),
+    pa.float32(): pd.Float32Dtype(), pa.float64(): pd.Float64Dtype(),
 }
 
 
 def _to_frame(table: pa.Table) -> pd.DataFrame:
-    return table.to_pandas(use_threads=False, types_mapper=_WHOLE.get)
+    return table.to_pandas(use_threads=False, types_mapper=_NULLABLE.get)
 
 
 def _stream_task(bind: Callable, shape: _Shape, size: int | None) -> Callable:
@@ -487,7 +492,10 @@ def _from_frame(frame: Any, shape: _Shape) -> pa.RecordBatch:
     for field in shape.out:
         column = columns[field.name]
         values = column.values if isinstance(column.values, np.ndarray) else column
-        array = pa.array(values, type=field.type, from_pandas=True)
+        floats = pa.types.is_floating(field.type)  # there NaN is a value; None and NA are nulls
+        if floats and isinstance(values, np.ndarray) and values.dtype == object:
+            values = [None if v is pd.NA else v for v in values]
+        array = pa.array(values, type=field.type, from_pandas=not floats)
         arrays.append(array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array)
     return _record_batch(arrays, [None] * len(frame), shape)
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from modelloom.functions import default_if_falsy, free_name
 from modelloom.operators.parallel import bind_setup, parallel_map
-from modelloom.shared import scratch_path
+from modelloom.shared import Scratch, scratch_path
 
 # fixed values of the churn formula
 CHURN_RECENCY_SCALE = 90.0
@@ -46,15 +46,15 @@ def order_activity(
     Orders are summed per customer before the join, so the join sees one row
     per key. Days count back from the newest order in the data.
     """
-    newest = orders.agg(F.max(order_date)).scalar()
+    summed = orders.groupBy(F.col(order_customer).alias(customer_key)).agg(
+        F.sum(order_amount).alias("total_spend"),
+        F.count("*").alias("order_count"),
+        F.max(order_date).alias("_last"),
+    )
+    # the newest of all from the sums; it asks for all their columns so that both uses share one shuffle
+    newest = summed.agg(F.max(F.struct("_last", "order_count", "total_spend")).getField("_last")).scalar()
     per_customer = (
-        orders.groupBy(F.col(order_customer).alias(customer_key))
-        .agg(
-            F.sum(order_amount).alias("total_spend"),
-            F.count("*").alias("order_count"),
-            F.max(order_date).alias("_last"),
-        )
-        .select(
+        summed.select(
             customer_key, "total_spend", "order_count",
             F.datediff(newest, F.col("_last")).alias("days_since_last_order"),
         )
@@ -123,10 +123,10 @@ def logistic(
     return df.withColumn(out, F.round(1.0 / (1.0 + F.exp(-total)), 6))
 
 
-def fit_centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
+def fit_centroids(df: DataFrame, label: str, vector: str, *, scratch: Scratch | None = None) -> DataFrame:
     """Mean vector of every label, written to the shared folder as the fitted model.
 
-    Sums per (label, position) are combined map-side, so a label holding most
+    With a ``scratch`` the folder goes when that is closed. Sums per (label, position) are combined map-side, so a label holding most
     of the vectors costs its task no more than any other.
     """
     means = (
@@ -139,7 +139,7 @@ def fit_centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
         .select(label, F.col("_means._mean").alias("centroid"))
     )
     spark = df.sparkSession
-    path = scratch_path(spark, "centroids")
+    path = scratch.path("centroids") if scratch else scratch_path(spark, "centroids")
     means.write.parquet(path)
     return spark.read.schema(means.schema).parquet(path)
 
@@ -153,19 +153,23 @@ def nearest_centroid(
     label: str = "label",
     out: tuple[str, str] = ("nearest", "similarity"),
     block: int = 4096,
+    scratch: Scratch | None = None,
+    budget: int = 128 << 20,
 ) -> DataFrame:
     """The centroid of highest cosine (six decimals; ties to the smaller label).
 
     The centroids are written to the shared folder at unit length. Rows stay
     where they are: every task streams over the written blocks of ``block``
-    centroids and keeps the best so far for its batch of rows. Rows are
+    centroids and keeps the best so far for its batch of rows. Centroids of up to
+    ``budget`` bytes are read once a task, more once for every batch of rows. With
+    a ``scratch`` their folder goes when that is closed. Rows are
     independent, whatever their ``key``. A vector that is null, zero, not finite
     or of another length than all centroids gets a null label and similarity; so
     does every row if there are no centroids.
     """
     name, similarity = out
     spark = df.sparkSession
-    folder = scratch_path(spark, "units")
+    folder = scratch.path("units") if scratch else scratch_path(spark, "units")
     centroids.select(F.col(label).alias("label"), _unit(F.col("centroid")).alias("unit")).where(
         F.col("label").isNotNull() & F.col("unit").isNotNull()
     ).write.parquet(folder)
@@ -188,12 +192,27 @@ def nearest_centroid(
                                 yield np.nan_to_num(units, nan=-np.inf), [p[0] for p in pairs]
 
     def nearest(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        held: list | None = None  # all blocks, once they are known to fit
+
+        def every() -> Iterator[tuple[np.ndarray, list]]:
+            nonlocal held
+            if held is not None:
+                yield from held
+                return
+            kept, weight = [], 0
+            for matrix, labels in blocks():
+                weight += matrix.nbytes
+                kept = kept + [(matrix, labels)] if weight <= budget else []
+                yield matrix, labels
+            if weight <= budget:
+                held = kept
+
         for vectors in parts:
             units = [_unit_vector(v) for v in vectors]
             lengths = np.array([-1 if u is None else len(u) for u in units])
             best, found = np.full(len(units), -np.inf), np.full(len(units), None, dtype=object)
             stacked = {n: np.stack([u for u in units if u is not None and len(u) == n]) for n in set(lengths) - {-1}}
-            for matrix, labels in blocks() if stacked else ():
+            for matrix, labels in every() if stacked else ():
                 rows = np.flatnonzero(lengths == matrix.shape[1])
                 if not len(rows):
                     continue

@@ -73,6 +73,20 @@ def map_batches(spark, sf_dir):
     )
 
 
+@query("map_batches_nulls", """
+    with x as (select l_orderkey, l_linenumber, case l_linenumber % 3 when 0 then null when 1 then 'nan'::double else l_quantity end as v from lineitem)
+    select l_orderkey, l_linenumber, v is null as is_null, coalesce(isnan(v), false) as is_nan, case when not isnan(v) then v * 2 end as doubled from x""")
+def map_batches_nulls(spark, sf_dir):
+    """Nulls and NaN go through a batch function as what they are."""
+    value = F.when(F.col("l_linenumber") % 3 == 1, F.lit(float("nan"))).when(F.col("l_linenumber") % 3 == 2, F.col("l_quantity"))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", value.alias("v"))
+    twice = parallel_map(lines, lambda frame: frame.assign(v=frame["v"] * 2), schema=lines.schema, mode="batch", batch_size=1000)
+    return twice.select(
+        "l_orderkey", "l_linenumber", F.isnull("v").alias("is_null"), F.coalesce(F.isnan("v"), F.lit(False)).alias("is_nan"),
+        F.when(~F.isnan("v"), F.col("v")).alias("doubled"),
+    )
+
+
 @query("map_lists", NET_SQL)
 def map_lists(spark, sf_dir):
     """Batches as lists of dicts."""
@@ -330,7 +344,7 @@ def enrich_embed(spark, sf_dir):
     """Word vectors of 64 buckets, chosen by first letter and length; shown as their non-zero entries."""
     vectors = embed_text(
         read(spark, sf_dir, "documents"), "doc_id", "text", dim=64,
-        bucket=lambda word: F.pmod(F.ascii(word) * 31 + F.length(word), F.lit(64)),
+        place=lambda word: (ord(word[0]) * 31 + len(word)) % 64,
     )
     entries = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "weight"))
     return entries.where("weight > 0").withColumn("weight", F.round("weight", 6))

@@ -326,3 +326,28 @@ def test_local_session_ignores_resources(spark, rows):
 def test_wrong_arguments(spark, how):
     with pytest.raises(ConfigError):
         parallel_map(spark.range(1), lambda r: r, **how)
+
+
+@pytest.mark.parametrize("mode", ["row", "list", "batch", "partition"])
+def test_nan_and_null_come_back_as_they_were(spark, mode):
+    df = spark.createDataFrame([(1, float("nan"), 1.5), (2, None, None), (3, 0.5, float("nan")), (None, None, 2.0)], "k int, x double, y float").coalesce(1)
+    same = {"row": lambda r: r, "list": lambda rows: rows, "batch": lambda frame: frame, "partition": lambda frames: frames}[mode]
+    out = parallel_map(df, same, schema=df.schema, mode=mode)
+    kinds = lambda d: sorted((r.k or 0, *[None if v is None else "nan" if v != v else v for v in (r.x, r.y)]) for r in d.collect())
+    assert kinds(out) == kinds(df)
+
+
+def test_added_names_are_those_of_the_session(spark):
+    df = spark.createDataFrame([(1, 2.0)], "id int, net double")
+    for how in ({}, {"input_cols": ["net"]}, {"on_error": "column"}):
+        out = parallel_map(df, lambda r: {"Net": r["net"] * 2}, adds="Net double", **how)
+        assert out.columns[:2] == ["id", "Net"] and out.select("net").first()[0] == 4.0
+    try:
+        spark.conf.set("spark.sql.caseSensitive", "true")
+        assert parallel_map(df, lambda r: {"Net": r["net"] * 2}, adds="Net double").columns == ["id", "net", "Net"]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    with pytest.raises(ConfigError):
+        parallel_map(df, lambda r: r, adds="a int, A int")
+    with pytest.raises(ConfigError):
+        parallel_map(df.withColumnRenamed("net", "Error"), lambda r: r, adds="a int", on_error="column")
