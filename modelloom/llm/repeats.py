@@ -175,6 +175,31 @@ def _ranges(length: int, size: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         yield _emit(rows)
 
 
+def _single(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The string of ``length`` from every single start of the items, as (uid, first, hull)."""
+    hull_of = xxhash.xxh3_128_digest
+    uids, starts, hulls = [], [], []
+
+    def emit() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(starts, pa.int64()), pa.array(hulls, pa.binary())], names=["uid", "first", "hull"])
+
+    for batch in portions(batches):
+        for uid, data, items in zip(*(column_values(batch, c) for c in ("uid", "data", "items"))):
+            places, n = set(), len(data)
+            for item in items:
+                first = item["first"]
+                places.update(range(max(first, item["low"], 0), min(first + item["size"] - 1, item["high"], n - length) + 1))
+            view = memoryview(data)
+            starts.extend(places)
+            hulls.extend([hull_of(view[s:s + length]) for s in places])
+            uids.extend([uid] * len(places))
+            if len(starts) >= 50_000:
+                yield emit()
+                uids, starts, hulls = [], [], []
+    if starts:
+        yield emit()
+
+
 ROW = "uid bigint, first bigint, low bigint, high bigint, core bigint, hull binary"
 
 
@@ -297,7 +322,7 @@ def repeated_passages(spark: SparkSession, df: DataFrame, work: Workspace, text:
         tested, items_first = held.select("uid", "data").join(grouped, "uid"), portions
         work.release()
     # of single starts the two strings are one
-    found = work.keep(tested.mapInArrow(lambda it: _ranges(length, 1, it), ROW).select("uid", "first", "hull"), "found1")
+    found = work.keep(tested.mapInArrow(lambda it: _single(length, it), "uid bigint, first bigint, hull binary"), "found1")
     work.release()
     twice = found.groupBy("hull").agg(F.count("*").alias("n")).where("n > 1").select("hull")
     single = work.keep(found.join(twice, "hull").select("uid", "first", F.col("first").alias("last")), "single")
