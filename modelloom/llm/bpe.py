@@ -175,10 +175,10 @@ def encoder(definition: str, pattern: str, memo: int = MEMO, added: bool = False
     return encode
 
 
-def shared_encoder(definition: str, pattern: str, added: bool = False) -> Callable[[list], list[bytes]]:
+def shared_encoder(definition: str, pattern: str, added: bool = False, memo: int = MEMO) -> Callable[[list], list[bytes]]:
     """The encoder of this worker process, with what it remembers from earlier tasks."""
-    token = hashlib.sha256(f"{pattern}\0{added}\0{definition}".encode()).hexdigest()
-    return worker_state(token, lambda: encoder(definition, pattern, added=added))
+    token = hashlib.sha256(f"{pattern}\0{added}\0{memo}\0{definition}".encode()).hexdigest()
+    return worker_state(token, lambda: encoder(definition, pattern, memo, added))
 
 
 def character_starts(text: str, lengths: np.ndarray) -> np.ndarray:

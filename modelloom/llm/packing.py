@@ -80,7 +80,7 @@ PIECE = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, seque
 
 def pack(
     df: DataFrame, definition: str, pattern: str, size: int = 2048, end_id: int = 1, text: str = "text",
-    keep: list[str] | None = None, ids: bool = False, added: bool = False,
+    keep: list[str] | None = None, ids: bool = False, added: bool = False, memo: int = 800_000,
 ) -> DataFrame:
     """One row per piece of a document: where it starts in the document, its window and place there.
 
@@ -91,7 +91,7 @@ def pack(
     windows of a task stay open. ``keep`` are the columns that go along (all but the text by
     default; columns with the names of the new ones are replaced); with ``ids`` each piece carries
     its ids as an array. With ``added`` a text's added tokens have their own ids, as the library gives
-    by default; else they are text. Sequence ids are the task's number and the window's, so a task that runs
+    by default; else they are text. A worker remembers the ids of ``memo`` words (about 200 bytes each). Sequence ids are the task's number and the window's, so a task that runs
     again gives the same ones. Repeated rows are packed each for itself.
     """
     new = StructType.fromDDL(PIECE + (", ids array<int>" if ids else ""))
@@ -112,7 +112,7 @@ def pack(
         return with_arrays(table, keep, added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = shared_encoder(definition, pattern, added)
+        encode = shared_encoder(definition, pattern, added, memo)
         first = TaskContext.get().partitionId() << 40
         end = np.asarray([end_id], "<u4").tobytes()
         windows, kept, rest = 0, [], [[], [], [], []]
