@@ -113,20 +113,25 @@ def train(
 
 def fit_language(
     df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", usable: Column | None = None,
-    per_language: int = 400, buckets: int = 4096,
+    per_language: int = 400, buckets: int = 4096, most_rows: int = 8000, most_languages: int = 400,
 ) -> LanguageModel | None:
     """Train on about ``per_language`` whole texts of each language of ``df`` (of the rows ``usable``).
 
-    That bound is the only sampling here: rows are chosen by a hash of their key and text, so
-    the same rows at any partitioning, and repeated rows once. The languages are all values of
-    ``lang`` that occur; rows with null text or language are left out. None if no row is left.
+    With more than ``most_rows`` / ``per_language`` languages each gives fewer, so that the driver
+    holds about ``most_rows`` rows of ``buckets`` numbers. These bounds are the only sampling here:
+    rows are chosen by a hash of their key and text, so the same rows at any partitioning, and
+    repeated rows once. The languages are the values of ``lang`` that occur, of more than
+    ``most_languages`` the most frequent ones; rows with null text or language are left out.
+    None if no row is left.
     """
     rows = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.lit(True) if usable is None else usable))
     rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    sizes = {r["lang"]: r["count"] for r in often.collect()}
     if not sizes:
         return None
     languages = sorted(sizes)
+    per_language = min(per_language, max(1, most_rows // len(languages)))
     share = F.create_map(*(F.lit(v) for name in languages for v in (name, min(1.0, per_language / sizes[name]))))
     drawn = F.pmod(F.xxhash64("key", "text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003
     sample = rows.where(drawn).dropDuplicates(["key", "text", "lang"]).select("lang", "text")

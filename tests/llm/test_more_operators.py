@@ -223,3 +223,24 @@ def test_few_labels_of_both_kinds(spark, work):
     data = spark.createDataFrame([(i, good_text(rng) if i else bad_text(rng), int(i > 0)) for i in range(3)], "doc_id bigint, text string, quality int")
     scored = classifier.quality_score(classifier.statistics(data), classifier.fit_quality(spark, classifier.statistics(data), data, work))
     assert all(0 <= r["score"] <= 1 for r in scored.collect())
+
+
+def test_languages_beyond_the_bound(spark):
+    from modelloom.llm import language
+
+    rows = [(i, f"{'abcdefgh'[i % 8] * 3} " * 20, f"l{i % 8}" if i < 160 else "rare") for i in range(163)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit_language(df, most_rows=80, most_languages=8, buckets=256)
+    assert model.languages == [f"l{i}" for i in range(8)]
+
+
+def test_a_table_united_with_itself(spark, work):
+    from modelloom.llm import jaccard
+    from test_operators import brute_components, near_copies
+
+    texts = near_copies(5)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = jaccard.similar_documents(spark, df.repartition(3).union(df.repartition(2)), work).collect()
+    want = {key: (n, component) for key, n, component in brute_components(rows)}
+    assert len(got) == 2 * len(rows) and all(want[r["doc_id"]] == (r["n_shingles"], r["component_id"]) for r in got)

@@ -1,6 +1,5 @@
 """The queries over the smallest tables, and the pipeline's stages."""
 
-import inspect
 import os
 import zlib
 
@@ -11,7 +10,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from modelloom.llm import queries, repeats  # noqa: E402
+from modelloom.llm import queries  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -98,7 +97,7 @@ def test_stages_against_plain_python(spark):
     assert Counter(stages["near_duplicates"]) == Counter(want) + Counter(r for r in stages["quality"] if r[0] is None)
     # without what occurs twice
     before, after = stages["near_duplicates"], stages["repeated_passages"]
-    removed = brute_repeats([r[1] for r in before], inspect.signature(repeats.repeated_passages).parameters["length"].default)
+    removed = brute_repeats([r[1] for r in before], corpus_pipeline.PASSAGE_BYTES)
     want = Counter((r[0], kept, r[4] - gone) for r, (_, gone, _, kept) in zip(before, removed))
     assert Counter((r[0], hashlib.sha256(r[1].encode()).hexdigest(), r[4]) for r in after) == want and any(gone for _, gone, _, _ in removed)
     # every id of what is left
@@ -114,6 +113,32 @@ def test_stages_against_plain_python(spark):
     assert tokens == want
 
 
+def test_passages_of_51_words_go_and_clean_documents_stay(spark):
+    from test_operators import words
+
+    passages = [" ".join(words(i, 51, 5000)) for i in range(6)]
+    own = lambda i: " ".join(words(100 + i, 60, 5000))
+    short = " ".join(words(99, 20, 5000))  # fewer words may repeat
+    rows = [(i, f"{own(2 * i)} {passages[i % 6]} {own(2 * i + 1)}", "en", "s", 1) for i in range(18)]
+    rows += [(100 + i, f"{own(200 + i)} {short} {own(300 + i)}", "en", "s", 1) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    after = {r["doc_id"]: r["text"] for r in corpus_pipeline.passage_stage(spark, docs, "").collect()}
+    for i, text, *_ in rows:
+        if i < 100:
+            assert passages[i % 6][20:-20] not in after[i] and len(after[i]) <= len(text) - len(passages[i % 6])
+        else:
+            assert after[i] == text
+
+
+def test_of_rows_with_one_id_the_same_stays(spark):
+    from test_operators import words
+
+    rows = [(1, " ".join(words(i, 80, 5000)), "en", "s", i) for i in range(6)] + [(2, " ".join(words(9, 80, 5000)), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [sorted(map(tuple, corpus_pipeline.near_duplicate_stage(spark, docs.repartition(n), "").collect())) for n in (1, 4)]
+    assert kept[0] == kept[1] and [r[0] for r in kept[0]] == [1, 2]
+
+
 @needs_tables
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
