@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modelloom.operators import add_ranks, asof_join, exact_quantiles, interval_join, top_k
+from modelloom.operators import (
+    add_ranks,
+    asof_join,
+    distinct_aggregates,
+    exact_quantiles,
+    interval_join,
+    lattice,
+    merge_lattice,
+    multiset_intersect,
+    semi_join,
+    sketches,
+    table_difference,
+    top_k,
+)
 from modelloom.shared import Scratch
 from showcase.registry import query, read
 
@@ -117,3 +130,111 @@ def join_interval(spark, sf_dir):
         returned, still_open, ("since", "until"), ("open_since", "open_until"), by="l_suppkey", scratch=Scratch(spark, "join_interval"),
     )
     return met.drop("l_suppkey_right")
+
+
+# --- aggregates ---------------------------------------------------------------------
+
+
+@query("agg_sketches", """
+    select '2024-01-01 to 2024-01-10' as days, count(*) as rows, count(distinct user_id) as users, true as users_near,
+      true as median_near, (select event_type from events where day(ts) <= 10 group by 1 order by count(*) desc, 1 limit 1) as most,
+      (select count(*) from events where day(ts) <= 10 group by event_type order by 1 desc limit 1) as most_events
+    from events where day(ts) <= 10""")
+def agg_sketches(spark, sf_dir):
+    """Ten stored days merged without their rows, and whether that is as near to the exact answers as promised."""
+    events = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    scratch = Scratch(spark, "agg_sketches")
+    stored = scratch.keep(sketches.sketch(events, "day", distinct=["user_id"], quantiles=["value"], frequent=["event_type"]), "days")
+    ten = sketches.merge_sketches(stored.where("day <= '2024-01-10'")).select(
+        "rows", sketches.distinct_estimate("user_id").alias("users_about"), sketches.quantile_estimate("value", 0.5).alias("median"),
+        sketches.frequent_estimate("event_type", 1)[0].alias("top"),
+    )
+    # ten short days of each side: the estimates are one row, the check scans the rows once
+    exact = events.where("day <= '2024-01-10'").join(F.broadcast(ten.select("median")), F.lit(True), "inner").agg(
+        F.count_distinct("user_id").alias("users"), F.avg((F.col("value") <= F.col("median")).cast("int")).alias("rank"),
+    )
+    return ten.join(F.broadcast(exact), F.lit(True), "inner").select(
+        F.lit("2024-01-01 to 2024-01-10").alias("days"), "rows", "users",
+        (F.abs(F.col("users_about") - F.col("users")) <= F.greatest(4 * sketches.DISTINCT_ERROR * F.col("users"), F.lit(1))).alias("users_near"),
+        (F.abs(F.col("rank") - 0.5) <= sketches.RANK_ERROR + 0.005).alias("median_near"),
+        F.col("top.item").alias("most"), F.col("top.count").alias("most_events"),
+    )
+
+
+DIMENSIONS = ["l_returnflag", "l_linestatus", "l_linenumber"]
+MEASURES = {"lines": ("count", "*"), "quantity": ("sum", "l_quantity"), "first_day": ("min", "l_shipdate"), "dearest": ("max", "l_extendedprice")}
+
+
+@query("agg_lattice", """
+    select l_returnflag, l_linestatus, l_linenumber, cast(grouping_id(l_returnflag, l_linestatus, l_linenumber) as bigint) as grouping,
+      count(*) as lines, sum(l_quantity) as quantity, min(l_shipdate) as first_day, max(l_extendedprice) as dearest
+    from lineitem group by cube (l_returnflag, l_linestatus, l_linenumber)""")
+def agg_lattice(spark, sf_dir):
+    """All sets of three dimensions: those of most lines stored, those of the others merged in."""
+    lines, scratch = read(spark, sf_dir, "lineitem"), Scratch(spark, "agg_lattice")
+    later = F.col("l_orderkey") % 10 == 7
+    stored = scratch.keep(lattice(lines.where(~later), DIMENSIONS, MEASURES, scratch=scratch), "stored")
+    return merge_lattice(stored, lattice(lines.where(later), DIMENSIONS, MEASURES, scratch=scratch), DIMENSIONS, MEASURES)
+
+
+@query("agg_distinct", """
+    select l_returnflag, count(distinct l_orderkey) as orders, count(distinct l_partkey) as parts, sum(distinct l_quantity) as quantities
+    from lineitem group by 1""")
+def agg_distinct(spark, sf_dir):
+    lines = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_partkey", "l_quantity")
+    return distinct_aggregates(
+        lines, "l_returnflag", {"orders": ("count", "l_orderkey"), "parts": ("count", "l_partkey"), "quantities": ("sum", "l_quantity")},
+    )
+
+
+# --- joins and differences ------------------------------------------------------------
+
+
+@query("join_bloom_semi", """
+    select l_orderkey, l_linenumber, l_quantity from lineitem
+    where l_orderkey in (select o_orderkey from orders where o_orderpriority = '1-URGENT' and o_totalprice > 300000)""")
+def join_bloom_semi(spark, sf_dir):
+    """Lines of a few large urgent orders; most lines go before the shuffle."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    orders = read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' and o_totalprice > 300000")
+    return semi_join(lines, orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", scratch=Scratch(spark, "join_bloom_semi"))
+
+
+@query("join_bloom_anti", """
+    select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 480000)""")
+def join_bloom_anti(spark, sf_dir):
+    """Customers without a very large order; most are known to have none before the shuffle."""
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = read(spark, sf_dir, "orders").where("o_totalprice > 480000").select(F.col("o_custkey").alias("c_custkey"))
+    return semi_join(customers, orders, "c_custkey", scratch=Scratch(spark, "join_bloom_anti"), anti=True)
+
+
+VERSIONS_SQL = """
+    o as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders),
+    n as (select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 890 = 5 then o_totalprice + 1 else o_totalprice end as o_totalprice
+        from o where o_orderkey % 970 <> 3 union all select * from o where o_orderkey % 830 = 2)"""
+
+
+def _versions(spark, sf_dir):
+    old = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    raised = F.when(F.col("o_orderkey") % 890 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    new = old.where("o_orderkey % 970 <> 3").withColumn("o_totalprice", raised).unionAll(old.where("o_orderkey % 830 = 2"))
+    return old, new
+
+
+@query("setop_difference", f"""
+    with {VERSIONS_SQL}, r as (select * from o except all select * from n), a as (select * from n except all select * from o)
+    select *, 'removed' as change, count(*) as copies from r group by all
+    union all select *, 'added' as change, count(*) as copies from a group by all""")
+def setop_difference(spark, sf_dir):
+    """Two versions of the orders: some gone, some dearer, some twice."""
+    return table_difference(*_versions(spark, sf_dir), "o_orderkey", scratch=Scratch(spark, "setop_difference"))
+
+
+@query("setop_intersect", """
+    with s as (select l_suppkey, l_quantity from lineitem where l_returnflag = 'R'), t as (select l_suppkey, l_quantity from lineitem where l_returnflag = 'A'),
+    b as (select * from s intersect all select * from t) select l_suppkey, l_quantity, count(*) as copies from b group by all""")
+def setop_intersect(spark, sf_dir):
+    lines = read(spark, sf_dir, "lineitem")
+    sides = [lines.where(F.col("l_returnflag") == flag).select("l_suppkey", "l_quantity") for flag in ("R", "A")]
+    return multiset_intersect(*sides)
