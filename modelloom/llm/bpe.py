@@ -107,6 +107,10 @@ def fast_pattern(pattern: str) -> re.Pattern:
     return re.compile(out)
 
 
+# fixed value: the pattern that the library's byte-level splitter has built in
+BUILT_IN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class _Memo(dict):
     """Ids by match of the pattern; notes the matches it has not."""
 
@@ -130,10 +134,14 @@ def encoder(definition: str, pattern: str, memo: int = MEMO, added: bool = False
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.encode_special_tokens = not added
+    if pattern != BUILT_IN:
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
     names = [token.content for token in tokenizer.get_added_tokens_decoder().values()] if added else []
     split = fast_pattern(pattern).findall
     unusual = re.compile(f"[^\\x00-{chr(SAME_CLASSES_BELOW - 1)}]").search

@@ -244,3 +244,19 @@ def test_a_table_united_with_itself(spark, work):
     got = jaccard.similar_documents(spark, df.repartition(3).union(df.repartition(2)), work).collect()
     want = {key: (n, component) for key, n, component in brute_components(rows)}
     assert len(got) == 2 * len(rows) and all(want[r["doc_id"]] == (r["n_shingles"], r["component_id"]) for r in got)
+
+
+def test_encoding_by_another_pattern(spark):
+    import base64
+
+    tiktoken, public = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
+    from modelloom.llm import bpe
+
+    with open(public.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    pattern = r" ?\p{L}+|\p{N}{1,3}|[^\s\p{L}\p{N}]+|\s+"
+    library = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["abc 1234567 x", "abc 1234567 日本 x", "日本12345語 !? 9999", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for row in bpe.encode(df, ranks, pattern).collect():
+        assert row["ids"] == library.encode_ordinary(row["text"] or "")
