@@ -332,6 +332,26 @@ def test_near_vectors(spark, work):
     assert vectors.near_vectors(spark, df.limit(0), work).count() == 0
 
 
+def test_near_vectors_of_many_dimensions(spark, work):
+    """Short vectors that leave axes out: no link is lost, and next to nothing else is compared whole."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(900, 64))
+    several = rng.integers(0, 900, 700)
+    all_rows = np.concatenate([centres, centres[several] + rng.normal(size=(700, 64)) * rng.choice([0.05, 0.2, 0.33, 0.5], (700, 1))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(all_rows)], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(spark, df, work, axes=4, short=20, interval=200).collect()}
+    unit = np.array([vectors.unit_vector(v.tolist()) for v in all_rows])
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert {k: v[0] for k, v in got.items()} == dict(enumerate(linked.sum(axis=1).tolist()))
+    for a, b in zip(*np.nonzero(linked)):
+        assert got[a][1] == got[b][1] <= min(a, b)
+    epsilon = np.sqrt(0.1)
+    short = vectors.shortened(unit, vectors.principal_axes(unit, 20)).astype(np.float32)
+    near = vectors.within(short, short, epsilon)
+    assert near[linked].all() and near.sum() - linked.sum() - len(unit) < 0.002 * near.size
+
+
 # --- Jaccard join
 
 
