@@ -1,9 +1,10 @@
 """Quality of texts: fixed base rules, and robust multivariate outliers per language and source.
 
-Each text becomes a vector of transformed statistics. Per group, the mean and covariance of
-the half or more of its rows with the smallest covariance determinant are estimated
-(concentration steps over all rows, as Spark aggregations), and texts far from them by
-Mahalanobis distance are rejected.
+Each text becomes a vector of transformed statistics. Per language and source, the mean and
+covariance of the half or more of its rows with the smallest covariance determinant are
+estimated (concentration steps over all rows, as Spark aggregations), and texts far from them
+by Mahalanobis distance are rejected. Groups of every size are estimated the same way: the
+estimate of all rows counts as some rows more in that of a language, and that in its sources'.
 """
 
 from __future__ import annotations
@@ -97,6 +98,8 @@ def chi2_quantile(p: float, freedom: int) -> float:
 #: Least standard deviation of each coordinate: most groups have no symbols or repeats at all,
 #: and a first one is no outlier.
 FLOOR = (0.25, 0.05, 0.05, 0.05, 0.15, 0.15)
+#: What the logarithm of a determinant must fall by for another step.
+LEAST_FALL = 1e-3
 #: Bins of the squared distance; fixed, so that their counts add up in any order.
 BINS_PER_DOUBLING, FEWEST_BITS, MOST_BITS = 16, -20, 60
 
@@ -110,93 +113,132 @@ def _distance(mean: str = "mean", inverse: str = "inverse"):
     )
 
 
-def _solved(batches: Iterator[pd.DataFrame], factor: float) -> Iterator[pd.DataFrame]:
-    """Mean, inverse covariance and log determinant of each group from its sums."""
-    upper = np.triu_indices(DIMENSIONS)
-    for rows in batches:
-        out = []
-        for n, sums, products in zip(rows["n"], rows["sums"], rows["products"]):
-            mean = np.asarray(sums) / n
-            cov = np.zeros((DIMENSIONS, DIMENSIONS))
-            cov[upper] = np.asarray(products) / n
-            cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
-            cov = cov * factor + np.diag(np.square(FLOOR))
-            out.append((mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
-        yield pd.DataFrame({
-            "grp": rows["grp"], "mean": [x[0] for x in out], "inverse": [x[1] for x in out], "logdet": [x[2] for x in out],
-        })
+def regularised(n: float, total: np.ndarray, products: np.ndarray, factor: float, prior: float, centre: np.ndarray, spread: np.ndarray):
+    """Mean, covariance and log determinant from the sums of ``n`` rows and a prior that counts as ``prior`` more.
 
+    Of all means and covariances these fit best, by penalised likelihood, the ``n`` rows (their
+    squares times ``factor``), the prior's centre and spread, and the floors. So a step to the rows
+    nearest to them and the fit to those never lets the determinant of n rows rise.
+    """
+    mean = (factor * total + prior * centre) / (factor * n + prior)
+    apart = centre - mean
+    scatter = products - np.outer(total, mean) - np.outer(mean, total) + n * np.outer(mean, mean)
+    raw = (factor * scatter + prior * (spread + np.outer(apart, apart))) / (n + prior)
+    return mean, raw, float(np.linalg.slogdet(raw + np.diag(np.square(FLOOR)))[1])
 
-def estimate(
-    spark: SparkSession, stats: DataFrame, work: Workspace, lang: str = "lang", source: str = "source",
-    share: float = 0.75, steps: int = 12, least_rows: int = 100,
-) -> tuple[DataFrame, DataFrame]:
-    """(places, estimates): the group of each (lang, source), and mean and inverse covariance per group.
 
-    Estimated from all rows of ``stats`` that pass the base rules. A language and source with
-    fewer than ``least_rows`` of them shares a group with the other small ones of its language,
-    and these with all small ones. Starts from the medians' neighbourhood and takes
-    concentration steps - the ``share`` of the rows nearest by the last estimate give the next
-    one - until no group's determinant falls any more. A step is one aggregation by group and
-    distance bin with map-side combine, so a group of any size is spread over all tasks.
+def _solved(batches: Iterator[pd.DataFrame], factor: float, prior: float) -> Iterator[pd.DataFrame]:
+    """The next estimate of each group and start from the sums of its rows, or the last if it is no better."""
+    upper = np.triu_indices(DIMENSIONS)
+    for rows in batches:
+        out = []
+        for row in rows.itertuples():
+            products = np.zeros((DIMENSIONS, DIMENSIONS))
+            products[upper] = row.products
+            products = products + np.triu(products, 1).T
+            spread = np.asarray(row.spread).reshape(DIMENSIONS, DIMENSIONS)
+            mean, raw, logdet = regularised(row.n, np.asarray(row.sums), products, factor, prior, np.asarray(row.centre), spread)
+            falls = not logdet > row.logdet - LEAST_FALL
+            if falls or row.cov is None:
+                out.append((mean.tolist(), raw.ravel().tolist(), np.linalg.inv(raw + np.diag(np.square(FLOOR))).ravel().tolist(), logdet, falls))
+            else:
+                out.append((row.mean, row.cov, row.inverse, row.logdet, False))
+        found = dict(zip(("mean", "cov", "inverse", "logdet", "active"), map(list, zip(*out)) if out else [[]] * 5))
+        yield pd.DataFrame({"grp": rows["grp"], "start": rows["start"], "centre": rows["centre"], "spread": rows["spread"], **found})
+
+
+_STATE = (
+    "grp string, start int, centre array<double>, spread array<double>, mean array<double>, cov array<double>, inverse array<double>, "
+    "logdet double, active boolean"
+)
+
+
+def _level(grouped: DataFrame, above: DataFrame | None, work: Workspace, name: str, share: float, prior: float) -> DataFrame:
+    """(grp, centre, spread, mean, cov, inverse) of the groups of ``grouped`` (grp, vector).
+
+    ``above`` has each group's prior (grp, centre, spread, prior_inverse); without it the medians and spreads of the
+    middle half are one. Starts: those, the medians with spreads of the middle quarter, and the prior. Each group and start takes steps until its determinant falls no more;
+    the start that ends with the smallest one counts. A step is one aggregation by group, start
+    and distance bin with map-side combine, so a group of any size is spread over all tasks.
     """
-    rows = stats.where("not base_failed").select(
-        F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"), "vector"
-    )
-    by_source = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    large = F.col("n") >= least_rows
-    of_lang = F.sum(F.when(large, 0).otherwise(F.col("n"))).over(_window("lang"))
-    by_source = by_source.withColumn("rest", of_lang)
-    places = work.keep(
-        by_source.select(
-            "lang", "source",
-            F.when(large, F.to_json(F.struct(F.lit(1), "lang", "source")))
-            .when(F.col("rest") >= least_rows, F.to_json(F.struct(F.lit(2), "lang"))).otherwise("3").alias("grp"),
-        ), "places",
-    )
-    same = rows["lang"].eqNullSafe(places["lang"]) & rows["source"].eqNullSafe(places["source"])
-    grouped = work.keep(rows.join(places, same).select("grp", "vector"), "vectors")
-
-    # start: coordinate medians, spreads from the middle half
     middles = grouped.groupBy("grp").agg(*(
-        F.percentile_approx(F.col("vector")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(DIMENSIONS)
+        F.percentile_approx(F.col("vector")[i], [0.25, 0.375, 0.5, 0.625, 0.75], 1000).alias(f"q{i}") for i in range(DIMENSIONS)
     ))
-    spread = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOOR[i])) for i in range(DIMENSIONS)]
-    state = work.keep(middles.select(
-        "grp", F.array(*(F.col(f"q{i}")[1] for i in range(DIMENSIONS))).alias("mean"),
-        F.array(*(1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(DIMENSIONS) for j in range(DIMENSIONS))).alias("inverse"),
-        F.lit(float("inf")).alias("logdet"),
-    ), "state")
+    middle = F.array(*(F.col(f"q{i}")[2] for i in range(DIMENSIONS)))
+
+    def spreads(a: int, b: int, normal: float):
+        return [F.greatest((F.col(f"q{i}")[b] - F.col(f"q{i}")[a]) / normal, F.lit(FLOOR[i])) for i in range(DIMENSIONS)]
+
+    def diagonal(values: list):
+        return F.array(*(values[i] if i == j else F.lit(0.0) for i in range(DIMENSIONS) for j in range(DIMENSIONS)))
+
+    half, quarter = spreads(0, 4, 1.349), spreads(1, 3, 0.637)
+    inverses = [diagonal([1 / (x * x) for x in of]) for of in (half, quarter)]
+    starts = [F.struct(F.lit(i).alias("start"), middle.alias("mean"), x.alias("inverse")) for i, x in enumerate(inverses)]
+    if above is None:
+        middles = middles.withColumns({"centre": middle, "spread": diagonal([x * x for x in half])})
+    else:
+        middles = middles.join(above, "grp")
+        starts.append(F.struct(F.lit(2).alias("start"), F.col("centre").alias("mean"), F.col("prior_inverse").alias("inverse")))
+    state = work.keep(middles.select("grp", "centre", "spread", F.explode(F.array(*starts)).alias("s")).select(
+        "grp", "s.start", "centre", "spread", "s.mean", F.lit(None).cast("array<double>").alias("cov"), "s.inverse",
+        F.lit(float("inf")).alias("logdet"), F.lit(True).alias("active"),
+    ), f"{name}_state")
     edge = chi2_quantile(share, DIMENSIONS)
     factor = share / chi2_below(edge, DIMENSIONS + 2)  # makes the trimmed covariance consistent
-    best = float("inf")
     v = [F.col("vector")[i] for i in range(DIMENSIONS)]
-    for _ in range(steps):
-        d2 = _distance()
-        bits = F.log2(F.greatest(d2, F.lit(2.0 ** FEWEST_BITS)))
-        binned = grouped.join(state.select("grp", "mean", "inverse"), "grp").withColumn(
+    upto = _window("grp", "start")
+    done = None
+    while not state.where("active").isEmpty():
+        ended = state.where("not active")
+        done = ended if done is None else done.unionByName(ended)
+        state = state.where("active")
+        bits = F.log2(F.greatest(_distance(), F.lit(2.0 ** FEWEST_BITS)))
+        binned = grouped.join(state.select("grp", "start", "mean", "inverse"), "grp").withColumn(
             "bin", F.floor(F.least(bits, F.lit(float(MOST_BITS))) * BINS_PER_DOUBLING)
         )
-        sums = binned.groupBy("grp", "bin").agg(
+        sums = binned.groupBy("grp", "start", "bin").agg(
             F.count("*").alias("n"), *(F.sum(v[i]).alias(f"s{i}") for i in range(DIMENSIONS)),
             *(F.sum(v[i] * v[j]).alias(f"p{i}{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)),
         )
-        upto = _window("grp")
         before = F.sum("n").over(upto.orderBy("bin")) - F.col("n")
         taken = sums.withColumn("before", before).withColumn("all", F.sum("n").over(upto)).where(F.col("before") < share * F.col("all"))
-        totals = taken.groupBy("grp").agg(
+        totals = taken.groupBy("grp", "start").agg(
             F.sum("n").alias("n"), F.array(*(F.sum(f"s{i}") for i in range(DIMENSIONS))).alias("sums"),
             F.array(*(F.sum(f"p{i}{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS))).alias("products"),
         )
-        state = work.keep(
-            totals.mapInPandas(lambda it: _solved(it, factor), "grp string, mean array<double>, inverse array<double>, logdet double"),
-            "state",
-        )
-        now = state.agg(F.sum("logdet")).first()[0]
-        if now is None or now > best - 1e-3:
-            break
-        best = now
-    return places, state
+        state = work.keep(totals.join(state, ["grp", "start"]).mapInPandas(lambda it: _solved(it, factor, prior), _STATE), f"{name}_state")
+    every = state if done is None else done.unionByName(state)
+    best = every.groupBy("grp").agg(F.min_by(F.struct("centre", "spread", "mean", "cov", "inverse"), F.struct("logdet", "start")).alias("s"))
+    return work.keep(best.select("grp", "s.*"), f"{name}_best")
+
+
+def estimate(
+    spark: SparkSession, stats: DataFrame, work: Workspace, lang: str = "lang", source: str = "source",
+    share: float = 0.75, prior: float = 50.0,
+) -> tuple[DataFrame, DataFrame]:
+    """(places, estimates): the group of each (lang, source), and mean and inverse covariance per group.
+
+    Estimated from all rows of ``stats`` that pass the base rules: once for all, then per language with
+    that as ``prior`` rows more, then per language and source with its language's. So a source of
+    ten rows follows its language, one of thousands itself, and nothing changes at any size.
+    Null languages and sources are values like any other.
+    """
+    rows = stats.where("not base_failed").select(
+        F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"), "vector"
+    )
+    everyone, of_lang, of_source = F.lit("all"), F.to_json(F.struct("lang")), F.to_json(F.struct("lang", "source"))
+    rows = work.keep(rows.select(everyone.alias("all"), of_lang.alias("by_lang"), of_source.alias("by_source"), "lang", "source", "vector"), "vectors")
+    groups = work.keep(rows.select("all", "by_lang", "by_source", "lang", "source").distinct(), "groups")
+    above = found = None
+    for column, upper in (("all", None), ("by_lang", "all"), ("by_source", "by_lang")):
+        if upper is not None:
+            of = groups.select(F.col(column).alias("own"), F.col(upper).alias("grp")).distinct()
+            above = of.join(found, "grp").select(
+                F.col("own").alias("grp"), F.col("mean").alias("centre"), F.col("cov").alias("spread"), F.col("inverse").alias("prior_inverse")
+            )
+        found = _level(rows.select(F.col(column).alias("grp"), "vector"), above, work, column, share, prior)
+    return groups.select("lang", "source", F.col("by_source").alias("grp")), found.select("grp", "mean", "inverse")
 
 
 def _window(*columns: str):

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import itertools
 import random
 import re
 import zlib
@@ -183,6 +184,50 @@ def test_quality(spark, work):
     assert quality.judge(none, *quality.estimate(spark, none, work)).count() == 0
 
 
+@pytest.mark.parametrize("given", [True, False])
+def test_smallest_determinant(spark, work, given):
+    """Small groups against every subset of three quarters of their rows: mostly the least determinant, and never one far from it."""
+    rng = np.random.default_rng(11)
+    size, share, prior, dims = 12, 0.75, 6.0, quality.DIMENSIONS
+    groups = {f"g{g}": rng.normal(size=(size, dims)) * rng.uniform(0.3, 2, dims) for g in range(8)}
+    for i, rows in enumerate(groups.values()):
+        rows[: i % 4] += 9  # up to three outliers
+    grouped = spark.createDataFrame([(g, v.tolist()) for g, rows in groups.items() for v in rows], "grp string, vector array<double>")
+    above, spread = None, np.diag(np.full(dims, 1.5))
+    if given:
+        inverse = np.linalg.inv(spread + np.diag(np.square(quality.FLOOR)))
+        above = spark.createDataFrame(
+            [(g, [0.2] * dims, spread.ravel().tolist(), inverse.ravel().tolist()) for g in groups],
+            "grp string, centre array<double>, spread array<double>, prior_inverse array<double>",
+        )
+    got = quality._level(grouped, above, work, "level", share, prior).collect()
+    factor = share / quality.chi2_below(quality.chi2_quantile(share, dims), dims + 2)
+    assert {r["grp"] for r in got} == set(groups)
+    above_least = []
+    for r in got:
+        inverse, centre, spread = (np.array(r[c]) for c in ("inverse", "centre", "spread"))
+        least = min(
+            quality.regularised(len(x), x.sum(axis=0), x.T @ x, factor, prior, centre, spread.reshape(dims, dims))[2]
+            for c in itertools.combinations(range(size), int(share * size)) for x in [groups[r["grp"]][list(c)]]
+        )
+        above_least.append(-np.linalg.slogdet(inverse.reshape(dims, dims))[1] - least)
+    assert min(above_least) > -1e-6 and max(above_least) < 0.3 and sum(x < 1e-6 for x in above_least) >= 6, above_least
+
+
+def test_small_sources_follow_their_language(spark, work):
+    """A source of any size has an estimate, between its own rows and its language's; the larger, the nearer to its own."""
+    rng = np.random.default_rng(12)
+    rows = [("en", "big", (rng.normal(size=6)).tolist()) for _ in range(2000)]
+    for n, name in ((1, "one"), (10, "ten"), (400, "many")):
+        rows += [("en", name, (rng.normal(size=6) + 2).tolist()) for _ in range(n)]
+    rows += [(None, None, [1.0] * 6)]
+    stats = spark.createDataFrame(rows, "lang string, source string, vector array<double>").withColumn("base_failed", F.lit(False))
+    places, estimates = quality.estimate(spark, stats, work)
+    found = {r["source"]: np.mean(r["mean"]) for r in places.join(estimates, "grp").collect()}
+    assert abs(found["big"]) < 0.1 and found["one"] < found["ten"] < 1 < found["many"] and set(found) == {"big", "one", "ten", "many", None}
+    assert quality.judge(stats, places, estimates).where("not kept").count() == 0
+
+
 # --- toxicity
 
 
