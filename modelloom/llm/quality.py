@@ -98,6 +98,8 @@ def chi2_quantile(p: float, freedom: int) -> float:
 #: Least standard deviation of each coordinate: most groups have no symbols or repeats at all,
 #: and a first one is no outlier.
 FLOOR = (0.25, 0.05, 0.05, 0.05, 0.15, 0.15)
+#: Groups and starts whose estimates (under half a kilobyte each) are broadcast; of more, Spark chooses and may split the join.
+FEW_GROUPS = 20_000
 #: What the logarithm of a determinant must fall by for another step.
 LEAST_FALL = 1e-3
 #: Bins of the squared distance; fixed, so that their counts add up in any order.
@@ -189,12 +191,14 @@ def _level(grouped: DataFrame, above: DataFrame | None, work: Workspace, name: s
     v = [F.col("vector")[i] for i in range(DIMENSIONS)]
     upto = _window("grp", "start")
     done = None
-    while not state.where("active").isEmpty():
+    while (groups := state.where("active").count()):
         ended = state.where("not active")
         done = ended if done is None else done.unionByName(ended)
         state = state.where("active")
         bits = F.log2(F.greatest(_distance(), F.lit(2.0 ** FEWEST_BITS)))
-        binned = grouped.join(state.select("grp", "start", "mean", "inverse"), "grp").withColumn(
+        near = state.select("grp", "start", "mean", "inverse")
+        near = F.broadcast(near) if groups <= FEW_GROUPS else near  # else rows of a large group would meet by its name
+        binned = grouped.join(near, "grp").withColumn(
             "bin", F.floor(F.least(bits, F.lit(float(MOST_BITS))) * BINS_PER_DOUBLING)
         )
         sums = binned.groupBy("grp", "start", "bin").agg(
