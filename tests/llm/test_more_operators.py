@@ -13,7 +13,7 @@ pytest.importorskip("regex")
 from pyspark.sql import functions as F  # noqa: E402
 
 from modelloom.errors import ConfigError  # noqa: E402
-from modelloom.llm import classifier, merkle, middle  # noqa: E402
+from modelloom.llm import classifier, jaccard, merkle, middle  # noqa: E402
 from modelloom.llm.common import Workspace  # noqa: E402
 
 
@@ -260,3 +260,28 @@ def test_encoding_by_another_pattern(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     for row in bpe.encode(df, ranks, pattern).collect():
         assert row["ids"] == library.encode_ordinary(row["text"] or "")
+
+
+def test_signatures_of_a_batch():
+    rng = np.random.default_rng(3)
+    lists = [rng.integers(0, 30, rng.integers(0, 12)).astype(np.uint64) for _ in range(40)] + [np.zeros(0, np.uint64)]
+    lists = [np.unique(x) for x in lists]
+    ids = rng.permutation(len(lists)).astype(np.int64) - 5
+    first, several, owner = jaccard.combined(np.concatenate(lists), np.cumsum([len(x) for x in lists]), ids)
+    places = [(int(v), int(i)) for x, i in zip(lists, ids) for v in x]
+    holders = {}
+    for v, i in places:
+        holders.setdefault(v, []).append(i)
+    assert sorted(p for p, f in zip(places, first) if f) == sorted((v, min(h)) for v, h in holders.items())
+    assert several.tolist() == [len(holders[v]) > 1 for v, _ in places]
+    assert owner.tolist() == [min(holders[v]) for v, _ in places]
+    assert all(len(x) == 0 for x in jaccard.combined(np.zeros(0, np.uint64), np.zeros(3, np.int64), ids[:3]))
+
+
+@pytest.mark.parametrize("size", [3, 20, 100, 420, 700, 1000, 5000])
+def test_partitions_hold_several_shingles_and_leave_enough(size):
+    bands, rng = jaccard.Bands(0.75), np.random.default_rng(size)
+    for band, k in bands.signs(size):
+        held = [len(np.unique(rng.integers(0, bands.partitions(band), size))) for _ in range(200)]
+        assert sum(h > k for h in held) >= (199 if size > 3 else 150)
+        assert bands.partitions(band) < max(40, 1.2 * size)
