@@ -2,9 +2,9 @@
 
 A position is an anchor if a hash of the bytes from it on says so; two equal strings have their
 anchors at the same places. Documents thus become strings of blocks, from anchor to anchor, and
-prefix doubling ranks these: positions are paired with the rank at a growing offset and ranked
-anew, those with a rank of their own are dropped, until the ranks cover all that the positions
-may need to decide. What is left are anchors of passages that may repeat. Which starts before
+prefix doubling ranks these: positions are paired with the rank at a growing offset, sorted over
+all tasks by the pair and ranked anew in that order, those with a rank of their own are dropped,
+until the ranks cover all that the positions may need to decide. What is left are anchors of passages that may repeat. Which starts before
 such an anchor repeat to the byte is then decided on the text, by halving ranges: all starts of a
 range repeat if the string from the first to the end of the last does, and none does unless what
 they have in common repeats.
@@ -19,11 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from modelloom.llm.common import Workspace, column_values, portions
+from modelloom.shared import task_count
 
 #: Bytes that decide whether a position is an anchor.
 GRAM = 16
@@ -203,23 +205,109 @@ def _single(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 ROW = "uid bigint, first bigint, low bigint, high bigint, core bigint, hull binary"
 
 
+#: A position, its number among the distinct pairs of its task, and where it may be alone (see ``_numbered``).
+NUMBERED = "task bigint, uid bigint, t bigint, need int, local bigint, edge int, n bigint, low struct<rank: bigint, next: bigint>, high struct<rank: bigint, next: bigint>"
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted positions of a task whose pair (rank, next) others have, too, numbered by pair; then a row about the task.
+
+    The first and the last position stay even if alone in the task: ``edge`` is 1 if such a one
+    may only share its pair with the task before, 2 with the task after, 3 with either, else 0.
+    The last row has no uid; ``n`` is the number of pairs, ``low`` and ``high`` are the first and the last.
+    """
+    task = TaskContext.get().partitionId()
+    kind = pa.struct([("rank", pa.int64()), ("next", pa.int64())])
+    held = before = low = None  # the last row so far, the pair before it, the first pair
+    number = -1
+
+    def rows(uid, t, need, local, edge) -> pa.RecordBatch:
+        n = len(uid)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(n, task, np.int64)), pa.array(uid), pa.array(t), pa.array(need, pa.int32()), pa.array(local), pa.array(edge, pa.int32()),
+            pa.nulls(n, pa.int64()), pa.nulls(n, kind), pa.nulls(n, kind),
+        ], names=["task", "uid", "t", "need", "local", "edge", "n", "low", "high"])
+
+    def ranked(columns: list[np.ndarray], last: bool) -> pa.RecordBatch:
+        """All rows but the last one, which waits for what follows; at the end that, too."""
+        nonlocal before, number, low
+        uid, t, need, rank, after = columns
+        new = np.ones(len(uid), bool)
+        new[1:] = (rank[1:] != rank[:-1]) | (after[1:] != after[:-1])
+        if before is not None:
+            new[0] = (int(rank[0]), int(after[0])) != before
+        else:
+            low = (int(rank[0]), int(after[0]))
+        local = number + np.cumsum(new)
+        end = len(uid) if last else len(uid) - 1
+        single = new[:end] & np.append(new[1:], last)[:end]
+        edge = np.zeros(end, np.int32)
+        if before is None and end:
+            edge[0] |= 1
+        if last:
+            edge[-1] |= 2
+        keep = ~single | (edge > 0)
+        edge[~single] = 0
+        if end:
+            before, number = (int(rank[end - 1]), int(after[end - 1])), int(local[end - 1])
+        return rows(uid[:end][keep], t[:end][keep], need[:end][keep], local[:end][keep], edge[keep])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy() for i in range(5)]
+        if held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+        held = [c[-1:].copy() for c in columns]
+        yield ranked(columns, False)
+    if held is not None:
+        yield ranked(held, True)
+        ends = [pa.array([{"rank": p[0], "next": p[1]}], kind) for p in (low, before)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([task], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
+            pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([number + 1], pa.int64()), *ends,
+        ], names=["task", "uid", "t", "need", "local", "edge", "n", "low", "high"])
+
+
+def _ranked(spark: SparkSession, pairs: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """(uid, t, rank, need) of the positions whose pair (rank, next) is not theirs alone.
+
+    All are sorted by the pair in ranges, so a frequent pair may fill many tasks. The new rank is the
+    dense one: a task's own numbers and the sum of the tasks before, a row each.
+    """
+    order = ["rank", "next", "uid", "t"]
+    dealt = pairs.select("uid", "t", "need", "rank", "next").repartitionByRange(task_count(spark), *order).sortWithinPartitions(*order)
+    numbered = work.keep(dealt.mapInArrow(_numbered, NUMBERED), name)
+    base, borders, last = 0, [], None
+    for row in sorted(numbered.where("uid is null").select("task", "n", "low", "high").collect()):
+        joined = last is not None and last == row["low"]
+        if joined:
+            borders[-1][3] = True
+            base -= 1
+        borders.append([row["task"], base, joined, False])
+        base, last = base + row["n"], row["high"]
+    around = spark.createDataFrame(borders, "task bigint, base bigint, before boolean, after boolean")
+    shared = (F.col("edge") == 0) | ((F.col("edge").bitwiseAND(1) > 0) & F.col("before")) | ((F.col("edge").bitwiseAND(2) > 0) & F.col("after"))
+    placed = numbered.where("uid is not null").select("task", "uid", "t", "need", "local", "edge").join(F.broadcast(around), "task")
+    return placed.where(shared).select("uid", "t", (F.col("base") + F.col("local")).alias("rank"), "need")
+
+
 def _doubled(spark: SparkSession, texts: DataFrame, work: Workspace) -> DataFrame:
     """(uid, t) of the anchors that prefix doubling leaves."""
     every = texts.select("uid", F.posexplode(F.arrays_zip("blocks", "needs")).alias("t", "b")).select(
-        "uid", "t", F.col("b.blocks").alias("rank"), F.col("b.needs").alias("need")
+        "uid", F.col("t").cast("bigint").alias("t"), F.col("b.blocks").alias("rank"), F.col("b.needs").alias("need")
     )
     left = [every.where("need = 0").select("uid", "t")]
-    pairs, step = every.where("rank is not null"), 1
+    # the name of a block is its first rank; at each step the ranks are those of the order of 2 ** step blocks
+    pairs, step = every.where("rank is not null").withColumn("next", F.lit(0).cast("bigint")), 1
     while True:
-        # rank: positions of one name; drop those that are alone with theirs
-        shared = pairs.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
-        ranked = work.keep(pairs.join(shared, "rank").select("uid", "t", "rank", "need"), f"rank{step}")
+        ranked = _ranked(spark, pairs, work, f"rank{step}")
         work.release()
         left.append(ranked.where((F.col("need") >= step) & (F.col("need") < 2 * step)).select("uid", "t"))
         if ranked.where(F.col("need") >= 2 * step).isEmpty():
             break
         after = ranked.select("uid", (F.col("t") - step).alias("t"), F.col("rank").alias("next"))
-        pairs = ranked.join(after, ["uid", "t"]).select("uid", "t", F.xxhash64("rank", "next").alias("rank"), "need")
+        pairs = ranked.join(after, ["uid", "t"])
         step *= 2
     out = left[0]
     for more in left[1:]:

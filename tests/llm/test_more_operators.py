@@ -13,7 +13,7 @@ pytest.importorskip("regex")
 from pyspark.sql import functions as F  # noqa: E402
 
 from modelloom.errors import ConfigError  # noqa: E402
-from modelloom.llm import classifier, jaccard, merkle, middle  # noqa: E402
+from modelloom.llm import classifier, jaccard, merkle, middle, repeats  # noqa: E402
 from modelloom.llm.common import Workspace  # noqa: E402
 
 
@@ -285,3 +285,14 @@ def test_partitions_hold_several_shingles_and_leave_enough(size):
         held = [len(np.unique(rng.integers(0, bands.partitions(band), size))) for _ in range(200)]
         assert sum(h > k for h in held) >= (199 if size > 3 else 150)
         assert bands.partitions(band) < max(40, 1.2 * size)
+
+
+@pytest.mark.parametrize("n, distinct", [(0, 1), (1, 1), (3, 3), (400, 1), (400, 150), (400, 4000)])
+def test_ranks_of_pairs(spark, work, n, distinct):
+    rng = random.Random(n + distinct)
+    rows = [(i, i % 7, i % 5, *((5, 5) if i % 3 == 0 else (rng.randrange(distinct), rng.randrange(3)))) for i in range(n)]
+    pairs = spark.createDataFrame(rows, "uid bigint, t bigint, need int, rank bigint, next bigint").repartition(3)
+    got = repeats._ranked(spark, pairs, work, "ranked").collect()
+    keys = [(r[3], r[4]) for r in rows]
+    dense = {k: i for i, k in enumerate(sorted(set(keys)))}
+    assert sorted(map(tuple, got)) == sorted((r[0], r[1], dense[k], r[2]) for r, k in zip(rows, keys) if keys.count(k) > 1)
