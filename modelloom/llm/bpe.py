@@ -112,17 +112,13 @@ BUILT_IN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 
 
 class _Memo(dict):
-    """Ids by match of the pattern; notes the matches it has not."""
+    """Ids by match of the pattern; notes the matches it has not and gives None for them."""
 
     def __init__(self):
         self.missing: list[str] = []
-        self.passing: dict[str, bytes] = {}  # those of the texts at hand that found no room
 
-    def __missing__(self, piece: str) -> bytes:
-        if piece in self.passing:
-            return self.passing[piece]
+    def __missing__(self, piece: str) -> None:
         self.missing.append(piece)
-        return b""
 
 
 def encoder(definition: str, pattern: str, memo: int = MEMO, added: bool = False) -> Callable[[list], list[bytes]]:
@@ -138,45 +134,51 @@ def encoder(definition: str, pattern: str, memo: int = MEMO, added: bool = False
 
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.encode_special_tokens = not added
+    unsplit = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # for what is a match already
     if pattern != BUILT_IN:
-        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ])
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), unsplit])
+    splitting = tokenizer.pre_tokenizer
     names = [token.content for token in tokenizer.get_added_tokens_decoder().values()] if added else []
     split = fast_pattern(pattern).findall
     unusual = re.compile(f"[^\\x00-{chr(SAME_CLASSES_BELOW - 1)}]").search
     known = _Memo()
 
-    def packed(texts: list[str]) -> list[bytes]:
+    def packed(texts: list[str], splitter) -> list[bytes]:
+        tokenizer.pre_tokenizer = splitter
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
     def encode(texts: list) -> list[bytes]:
         out: list[bytes] = []
-        lookup = known.__getitem__
+        lookup, missing = known.__getitem__, known.missing
         for at in range(0, len(texts), 64):  # bounds the matches held at once
             part = [t or "" for t in texts[at:at + 64]]
-            known.passing.clear()
             rare = [i for i, t in enumerate(part) if any(n in t for n in names) or not t.isascii() and unusual(t)]
-            whole = dict(zip(rare, packed([part[i] for i in rare])))
-            pieces, ids = {}, []
+            whole = dict(zip(rare, packed([part[i] for i in rare], splitting))) if rare else {}
+            missing.clear()
+            waiting, ids = [], []
             for i, t in enumerate(part):
                 if i in whole:
                     ids.append(whole[i])
                     continue
-                found, before = split(t), len(known.missing)
-                ids.append(b"".join(map(lookup, found)))
-                if len(known.missing) > before:
-                    pieces[i] = found
-            if known.missing:
-                new = list(set(known.missing))
-                known.missing.clear()
-                ids_of_new = packed(new)
-                room = max(0, memo - len(known))
-                known.update(zip(new[:room], ids_of_new))
-                known.passing.update(zip(new[room:], ids_of_new[room:]))
-                for i, found in pieces.items():
-                    ids[i] = b"".join(map(lookup, found))
+                before = len(missing)
+                values = list(map(lookup, split(t)))
+                if len(missing) > before:
+                    waiting.append((i, values, before, len(missing)))
+                    ids.append(b"")
+                else:
+                    ids.append(b"".join(values))
+            if missing:
+                new = list(set(missing))
+                found = dict(zip(new, packed(new, unsplit)))
+                for piece in new[:max(0, memo - len(known))]:
+                    known[piece] = found[piece]
+                for i, values, first, end in waiting:
+                    place = -1
+                    for piece in missing[first:end]:  # in the order of the gaps
+                        place = values.index(None, place + 1)
+                        values[place] = found[piece]
+                    ids[i] = b"".join(values)
             out += ids
         return out
 

@@ -87,6 +87,24 @@ def test_every_character_is_split_alike(ranks, reference):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("memo", [0, 20, 10_000])
+def test_each_match_is_looked_up_once(ranks, reference, monkeypatch, memo):
+    looked = []
+
+    class Counting(bpe._Memo):
+        def __getitem__(self, piece):
+            looked.append(piece)
+            return super().__getitem__(piece)
+
+    monkeypatch.setattr(bpe, "_Memo", Counting)
+    texts = [" ".join(words(seed % 90, 40, 300)) + ODD_TEXTS[5 + seed % 4] for seed in range(150)] + [None, ""]
+    encode = bpe.encoder(bpe.tokenizer_definition(ranks), public_tokenizers.PATTERN, memo=memo)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [reference.encode_ordinary(t or "") for t in texts]
+    split = bpe.fast_pattern(public_tokenizers.PATTERN).findall
+    usual = [t for t in texts if t and max(map(ord, t)) < bpe.SAME_CLASSES_BELOW]
+    assert len(usual) > 50 and looked == [piece for t in usual for piece in split(t)]
+
+
 def test_characters_split_by_tokens(spark, ranks, reference):
     ids = reference.encode_ordinary("🙂")
     assert len(ids) > 1
