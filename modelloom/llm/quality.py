@@ -13,7 +13,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,30 +128,55 @@ def regularised(n: float, total: np.ndarray, products: np.ndarray, factor: float
     return mean, raw, float(np.linalg.slogdet(raw + np.diag(np.square(FLOOR)))[1])
 
 
-def _solved(batches: Iterator[pd.DataFrame], factor: float, prior: float) -> Iterator[pd.DataFrame]:
-    """The next estimate of each group and start from the sums of its rows, or the last if it is no better."""
-    upper = np.triu_indices(DIMENSIONS)
-    for rows in batches:
-        out = []
-        for row in rows.itertuples():
-            products = np.zeros((DIMENSIONS, DIMENSIONS))
-            products[upper] = row.products
-            products = products + np.triu(products, 1).T
-            spread = np.asarray(row.spread).reshape(DIMENSIONS, DIMENSIONS)
-            mean, raw, logdet = regularised(row.n, np.asarray(row.sums), products, factor, prior, np.asarray(row.centre), spread)
-            falls = not logdet > row.logdet - LEAST_FALL
-            if falls or row.cov is None:
-                out.append((mean.tolist(), raw.ravel().tolist(), np.linalg.inv(raw + np.diag(np.square(FLOOR))).ravel().tolist(), logdet, falls))
-            else:
-                out.append((row.mean, row.cov, row.inverse, row.logdet, False))
-        found = dict(zip(("mean", "cov", "inverse", "logdet", "active"), map(list, zip(*out)) if out else [[]] * 5))
-        yield pd.DataFrame({"grp": rows["grp"], "start": rows["start"], "centre": rows["centre"], "spread": rows["spread"], **found})
-
-
 _STATE = (
     "grp string, start int, centre array<double>, spread array<double>, mean array<double>, cov array<double>, inverse array<double>, "
     "logdet double, active boolean"
 )
+_UPPER = np.triu_indices(DIMENSIONS)
+
+
+def _better(state: dict, n: int, sums: np.ndarray, products: np.ndarray, factor: float, prior: float) -> dict:
+    """The next estimate of a group and start from the sums of its ``n`` rows, or the last if it is no better."""
+    full = np.zeros((DIMENSIONS, DIMENSIONS))
+    full[_UPPER] = products
+    full = full + np.triu(full, 1).T
+    spread = np.asarray(state["spread"]).reshape(DIMENSIONS, DIMENSIONS)
+    mean, raw, logdet = regularised(n, sums, full, factor, prior, np.asarray(state["centre"]), spread)
+    falls = not logdet > state["logdet"] - LEAST_FALL
+    if not falls and state["cov"] is not None:
+        return state | {"active": False}
+    inverse = np.linalg.inv(raw + np.diag(np.square(FLOOR)))
+    return state | {"mean": mean.tolist(), "cov": raw.ravel().tolist(), "inverse": inverse.ravel().tolist(), "logdet": logdet, "active": falls}
+
+
+def _solved(batches: Iterator[pa.RecordBatch], share: float, factor: float, prior: float) -> Iterator[pa.RecordBatch]:
+    """The states after a step. A state (without ``bin``) is followed by the sums of its bins in order of distance;
+    of these the nearest that hold ``share`` of the rows count. States that have ended stay as they are."""
+    names = ["grp", "start", "centre", "spread", "mean", "cov", "inverse", "logdet", "active"]
+    kinds = [pa.string(), pa.int32(), *[pa.list_(pa.float64())] * 5, pa.float64(), pa.bool_()]
+
+    def solved(rows: pa.Table) -> pa.RecordBatch:
+        first = np.flatnonzero(rows.column("bin").is_null().to_numpy())
+        n = rows.column("n").to_numpy()
+        sums, products = (rows.column(c).combine_chunks().flatten().to_numpy().reshape(len(n), -1) for c in ("sums", "products"))
+        out = []
+        for state, a, b in zip(rows.select(names).take(first).to_pylist(), first + 1, [*first[1:], len(n)]):
+            if state["active"]:
+                taken = a + int(np.searchsorted(np.cumsum(n[a:b]) - n[a:b], share * n[a:b].sum()))
+                state = _better(state, int(n[a:taken].sum()), sums[a:taken].sum(axis=0), products[a:taken].sum(axis=0), factor, prior)
+            out.append(state)
+        return pa.RecordBatch.from_pylist(out, pa.schema(list(zip(names, kinds))))
+
+    held = None  # the last state and its bins so far
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        first = np.flatnonzero(rows.column("bin").is_null().to_numpy())
+        last = int(first[-1]) if len(first) else 0
+        if last:
+            yield solved(rows.slice(0, last).combine_chunks())
+        held = rows.slice(last)
+    if held is not None and held.num_rows:
+        yield solved(held.combine_chunks())
 
 
 def _level(grouped: DataFrame, above: DataFrame | None, work: Workspace, name: str, share: float, prior: float) -> DataFrame:
@@ -161,7 +185,8 @@ def _level(grouped: DataFrame, above: DataFrame | None, work: Workspace, name: s
     ``above`` has each group's prior (grp, centre, spread, prior_inverse); without it the medians and spreads of the
     middle half are one. Starts: those, the medians with spreads of the middle quarter, and the prior. Each group and start takes steps until its determinant falls no more;
     the start that ends with the smallest one counts. A step is one aggregation by group, start
-    and distance bin with map-side combine, so a group of any size is spread over all tasks.
+    and distance bin with map-side combine, so a group of any size is spread over all tasks; the bins
+    then follow their state, in order, through one sort.
     """
     middles = grouped.groupBy("grp").agg(*(
         F.percentile_approx(F.col("vector")[i], [0.25, 0.375, 0.5, 0.625, 0.75], 1000).alias(f"q{i}") for i in range(DIMENSIONS)
@@ -189,14 +214,13 @@ def _level(grouped: DataFrame, above: DataFrame | None, work: Workspace, name: s
     edge = chi2_quantile(share, DIMENSIONS)
     factor = share / chi2_below(edge, DIMENSIONS + 2)  # makes the trimmed covariance consistent
     v = [F.col("vector")[i] for i in range(DIMENSIONS)]
-    upto = _window("grp", "start")
-    done = None
-    while (groups := state.where("active").count()):
-        ended = state.where("not active")
-        done = ended if done is None else done.unionByName(ended)
-        state = state.where("active")
+    lists = {"sums": [f"s{i}" for i in range(DIMENSIONS)], "products": [f"p{i}{j}" for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]}
+    zeros = [F.array(*(F.lit(0.0) for _ in columns)).alias(c) for c, columns in lists.items()]
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.schema[2:]]
+    groups = state.count()
+    while groups:
         bits = F.log2(F.greatest(_distance(), F.lit(2.0 ** FEWEST_BITS)))
-        near = state.select("grp", "start", "mean", "inverse")
+        near = state.where("active").select("grp", "start", "mean", "inverse")
         near = F.broadcast(near) if groups <= FEW_GROUPS else near  # else rows of a large group would meet by its name
         binned = grouped.join(near, "grp").withColumn(
             "bin", F.floor(F.least(bits, F.lit(float(MOST_BITS))) * BINS_PER_DOUBLING)
@@ -205,15 +229,17 @@ def _level(grouped: DataFrame, above: DataFrame | None, work: Workspace, name: s
             F.count("*").alias("n"), *(F.sum(v[i]).alias(f"s{i}") for i in range(DIMENSIONS)),
             *(F.sum(v[i] * v[j]).alias(f"p{i}{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)),
         )
-        before = F.sum("n").over(upto.orderBy("bin")) - F.col("n")
-        taken = sums.withColumn("before", before).withColumn("all", F.sum("n").over(upto)).where(F.col("before") < share * F.col("all"))
-        totals = taken.groupBy("grp", "start").agg(
-            F.sum("n").alias("n"), F.array(*(F.sum(f"s{i}") for i in range(DIMENSIONS))).alias("sums"),
-            F.array(*(F.sum(f"p{i}{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS))).alias("products"),
-        )
-        state = work.keep(totals.join(state, ["grp", "start"]).mapInPandas(lambda it: _solved(it, factor, prior), _STATE), f"{name}_state")
-    every = state if done is None else done.unionByName(state)
-    best = every.groupBy("grp").agg(F.min_by(F.struct("centre", "spread", "mean", "cov", "inverse"), F.struct("logdet", "start")).alias("s"))
+        # each state, then its bins: at most some 1,300 rows, whatever the size of the group
+        heads = state.select("*", F.lit(None).cast("bigint").alias("bin"), F.lit(0).cast("bigint").alias("n"), *zeros)
+        bins = sums.select("grp", "start", *none, "bin", "n", *(F.array(*columns).alias(c) for c, columns in lists.items()))
+        dealt = heads.unionByName(bins).repartition("grp", "start").sortWithinPartitions("grp", "start", "bin")
+        state = work.keep(dealt.mapInArrow(lambda it: _solved(it, share, factor, prior), _STATE), f"{name}_state")
+        if groups > FEW_GROUPS:
+            groups = state.where("active").count()
+        elif state.where("active").isEmpty():  # they only grow fewer
+            groups = 0
+    work.release()
+    best = state.groupBy("grp").agg(F.min_by(F.struct("centre", "spread", "mean", "cov", "inverse"), F.struct("logdet", "start")).alias("s"))
     return work.keep(best.select("grp", "s.*"), f"{name}_best")
 
 
@@ -245,12 +271,6 @@ def estimate(
     return groups.select("lang", "source", F.col("by_source").alias("grp")), found.select("grp", "mean", "inverse")
 
 
-def _window(*columns: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)
-
-
 def judge(
     stats: DataFrame, places: DataFrame, estimates: DataFrame, lang: str = "lang", source: str = "source",
     outlier: float = 1e-9,

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -232,6 +233,52 @@ def test_smallest_determinant(spark, work, given):
     assert min(above_least) > -1e-6 and max(above_least) < 0.3 and sum(x < 1e-6 for x in above_least) >= 6, above_least
 
 
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_bins_follow_their_state_over_batches(size):
+    rng, dims = np.random.default_rng(5), quality.DIMENSIONS
+    eye, zeros, wide = np.eye(dims).ravel().tolist(), [0.0] * dims, dims * (dims + 1) // 2
+    rows, groups = [], {}
+    for g in range(5):
+        state = {"grp": f"g{g}", "start": g % 2, "centre": zeros, "spread": eye, "mean": zeros, "cov": None, "inverse": eye, "logdet": math.inf, "active": g != 3}
+        rows.append(state | {"bin": None, "n": 0, "sums": zeros, "products": [0.0] * wide})
+        groups[g] = [rng.normal(size=(k, dims)) for k in (3, 2, 4, 1, 1 + g)]
+        rows += [
+            {"grp": f"g{g}", "start": g % 2, "bin": b, "n": len(x), "sums": x.sum(axis=0).tolist(), "products": (x.T @ x)[quality._UPPER].tolist()}
+            for b, x in enumerate(groups[g]) if g != 3
+        ]
+    floats = pa.list_(pa.float64())
+    kinds = {"grp": pa.string(), "start": pa.int32(), **dict.fromkeys(("centre", "spread", "mean", "cov", "inverse"), floats)}
+    kinds |= {"logdet": pa.float64(), "active": pa.bool_(), "bin": pa.int64(), "n": pa.int64(), "sums": floats, "products": floats}
+    batches = pa.Table.from_pylist(rows, pa.schema(list(kinds.items()))).to_batches(max_chunksize=size)
+    out = [r for b in quality._solved(iter(batches), 0.75, 1.2, 5.0) for r in b.to_pylist()]
+    assert [r["grp"] for r in out] == [f"g{g}" for g in range(5)]
+    for g, r in enumerate(out):
+        if g == 3:
+            assert r["mean"] == zeros and r["cov"] is None and not r["active"]
+            continue
+        total = sum(map(len, groups[g]))
+        near = np.concatenate([x for i, x in enumerate(groups[g]) if sum(map(len, groups[g][:i])) < 0.75 * total])
+        mean, raw, logdet = quality.regularised(len(near), near.sum(axis=0), near.T @ near, 1.2, 5.0, np.zeros(dims), np.eye(dims))
+        assert np.allclose(r["mean"], mean) and np.allclose(r["cov"], raw.ravel()) and abs(r["logdet"] - logdet) < 1e-9 and r["active"]
+
+
+def test_a_step_is_one_write_without_windows(spark, work):
+    """Every query is planned in the driver, which holds its plans and broadcasts until it collects its garbage."""
+    rng = np.random.default_rng(3)
+    grouped = work.keep(spark.createDataFrame([(f"g{i % 4}", rng.normal(size=quality.DIMENSIONS).tolist()) for i in range(200)], "grp string, vector array<double>"), "grouped")
+    written = []
+
+    class Counting(Workspace):
+        def keep(self, df, name, by=None):
+            written.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+            return super().keep(df, name, by)
+
+    with Counting(spark, "steps") as counting:
+        assert quality._level(grouped, None, counting, "level", 0.75, 5.0).count() == 4
+    steps = [plan for name, plan in written if name == "level_state"][1:]
+    assert steps and all(plan.count("Aggregate [") == 1 and plan.count("Join ") == 1 and "Window [" not in plan for plan in steps)
+
+
 def test_small_sources_follow_their_language(spark, work):
     """A source of any size has an estimate, between its own rows and its language's; the larger, the nearer to its own."""
     rng = np.random.default_rng(12)
