@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("regex")
@@ -296,3 +297,24 @@ def test_ranks_of_pairs(spark, work, n, distinct):
     keys = [(r[3], r[4]) for r in rows]
     dense = {k: i for i, k in enumerate(sorted(set(keys)))}
     assert sorted(map(tuple, got)) == sorted((r[0], r[1], dense[k], r[2]) for r, k in zip(rows, keys) if keys.count(k) > 1)
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, work):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = spark.range(0, 2500, 1, 1).mapInArrow(sizes, "n bigint")
+    assert max(r["n"] for r in work.keep(rows, "small", whole=True).collect()) <= 1000 and spark.conf.get(name) == before
+    assert max(r["n"] for r in work.keep(rows, "large").collect()) > 1000
+
+
+def test_a_kept_text_goes_to_python_once(spark):
+    from modelloom.llm import quality
+
+    df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    python = [x for x in quality.statistics(df)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in x]
+    assert len(python) == 1 and "value" not in python[0]
