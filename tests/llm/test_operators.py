@@ -629,3 +629,37 @@ def test_repeated_passages(spark, work, length):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want, i
         assert hashlib.sha256(bytes(r["kept"])).hexdigest() == want[3] and r["row"]["n_removed"] == "kept"
     assert repeats.repeated_passages(spark, df.limit(0), work, length=length).count() == 0
+
+
+def test_positions_are_followed_within_their_text(spark):
+    rng = random.Random(3)
+    rows = sorted({(rng.randrange(9) ** 3, rng.randrange(40)) for _ in range(200)})
+    rows = [(u, t, i % 9, 7 * i) for i, (u, t) in enumerate(rows)]
+    rank = {r[:2]: r[3] for r in rows}
+    for size in (1, 7, 64, 500):
+        batches = [pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows[i:i + size]))), names=["uid", "t", "need", "rank"]) for i in range(0, len(rows), size)]
+        for step in (1, 4, 64):
+            got = [tuple(r.values()) for b in repeats._followed(step, iter([batches[0].slice(0, 0), *batches])) for r in b.to_pylist()]
+            assert got == [(*r, rank[r[0], r[1] + step]) for r in rows if (r[0], r[1] + step) in rank]
+
+
+def test_late_steps_take_only_texts_that_need_them(spark, work, monkeypatch):
+    sizes, ranked = {}, repeats._ranked
+
+    def counted(spark, pairs, work, name):
+        sizes[int(name[4:])] = pairs.count()
+        return ranked(spark, pairs, work, name)
+
+    monkeypatch.setattr(repeats, "_ranked", counted)
+    plain = [" ".join(words(i, 300, 5000)) for i in range(12)]
+    dense, rng = "", random.Random(2)  # a gram that is an anchor, again and again
+    while not dense:
+        gram = "".join(rng.choice("abcdefgh") for _ in range(repeats.GRAM))
+        dense = gram if 0 in repeats.anchors((gram + " " * 400).encode(), 400) else ""
+    dense = "".join(f"{dense}{i % 7}" for i in range(60))
+    texts = [*plain, *plain, f"{plain[0]} {dense}{plain[1]}", f"{plain[2]} {dense}{plain[3]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    out = {r["row"]["doc_id"]: r for r in repeats.repeated_passages(spark, df, work, length=400).collect()}
+    for i, want in enumerate(brute_repeats(texts, 400)):
+        assert (out[i]["n_bytes"], out[i]["n_removed"], out[i]["n_spans"], out[i]["kept_sha256"]) == want, i
+    assert 2 * repeats.FEW in sizes and sizes[2 * repeats.FEW] < sizes[repeats.FEW] / 3
