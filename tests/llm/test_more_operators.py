@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from modelloom.errors import ConfigError  # noqa: E402
 from modelloom.llm import classifier, jaccard, merkle, middle, repeats  # noqa: E402
-from modelloom.llm.common import Workspace  # noqa: E402
+from modelloom.llm.common import Workspace, return_freed  # noqa: E402
 
 
 @pytest.fixture
@@ -318,3 +318,36 @@ def test_a_kept_text_goes_to_python_once(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     python = [x for x in quality.statistics(df)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in x]
     assert len(python) == 1 and "value" not in python[0]
+
+
+def test_written_steps_return_the_native_memory_the_driver_has_freed(spark, work):
+    if not return_freed(spark):
+        pytest.skip("this JVM has no such command")
+    jvm = spark._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+
+    platform = jvm.org.apache.spark.unsafe.Platform
+    blocks = [platform.allocateMemory(100_000) for _ in range(1000)]
+    for block in blocks:
+        platform.setMemory(block, 1, 100_000)
+
+    def resident():
+        """MB of the mapped areas that hold the blocks."""
+        total, inside = 0, False
+        with open(f"/proc/{pid}/smaps") as file:
+            for line in file:
+                if area := re.match(r"([0-9a-f]+)-([0-9a-f]+) ", line):
+                    low, high = (int(x, 16) for x in area.groups())
+                    inside = any(low <= block < high for block in blocks)
+                elif inside and line.startswith("Rss:"):
+                    total += int(line.split()[1]) / 1024
+        return total
+
+    for i, block in enumerate(blocks):
+        if i % 50:  # the others keep the allocator from giving back what lies between
+            platform.freeMemory(block)
+    held = resident()
+    assert work.keep(spark.range(10).toDF("id"), "kept").count() == 10
+    assert held - resident() > 50
+    for block in blocks[::50]:
+        platform.freeMemory(block)
